@@ -22,8 +22,25 @@ LINES_SPEC = TripSpec(**_PERIOD, kinds=("F", "O", "P"))
 TRIP_ORDER = ["ts", "l_partkey", "l_suppkey"]
 
 
+# The columns used, declared so that no file is opened to find the schema.
+_COLUMNS = {
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+        "l_quantity DOUBLE, l_extendedprice DOUBLE, l_returnflag STRING, "
+        "l_shipdate TIMESTAMP_NTZ"
+    ),
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, "
+        "o_orderdate TIMESTAMP_NTZ"
+    ),
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "supplier": "s_suppkey BIGINT, s_nationkey INT",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
