@@ -16,7 +16,8 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# White space as Python's str.strip sees it: Unicode white space and 1C to 1F.
+# White space as Python's str.strip and re see it: Unicode white space and 1C to
+# 1F. Python's float strips the former only.
 _WS = r"\s\x1c-\x1f"
 _BLANK = rf"(?U)^[{_WS}]*\z"
 
@@ -29,11 +30,11 @@ _DATE_LOOSE = (
 _DIGITS = r"[0-9](?:_?[0-9])*"
 _NUMBER_PLAIN = r"^[+-]?[0-9]+(?:\.[0-9]*)?\z"
 _NUMBER_LOOSE = (
-    rf"(?U)^[{_WS}]*[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})"
-    rf"(?:[eE][+-]?{_DIGITS})?[{_WS}]*\z"
+    rf"(?U)^\s*[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})"
+    rf"(?:[eE][+-]?{_DIGITS})?\s*\z"
 )
-_NON_FINITE = rf"(?iU)^[{_WS}]*[+-]?(?:nan|inf|infinity)[{_WS}]*\z"
-_NEGATIVE_INF = rf"(?iU)^[{_WS}]*-inf(?:inity)?[{_WS}]*\z"
+_NON_FINITE = r"(?U)^\s*[+-]?(?i-uU:nan|inf(?:inity)?)\s*\z"
+_NEGATIVE_INF = r"(?U)^\s*-(?i-uU:inf(?:inity)?)\s*\z"
 
 
 def is_blank(text: Column) -> Column:

@@ -205,6 +205,11 @@ _PAIRS = """SELECT CAST(row_number() OVER w AS INTEGER) AS rank, src AS origin,
        dst AS destination, weight AS n_trips
 FROM arcs WINDOW w AS (ORDER BY weight DESC, src, dst) ORDER BY rank LIMIT 10"""
 
+_RANKED = """SELECT CAST(row_number() OVER w AS INTEGER) AS rank, origin,
+       destination, count(*) AS n_trips
+FROM valid GROUP BY origin, destination
+WINDOW w AS (ORDER BY count(*) DESC, origin, destination) QUALIFY rank <= 10"""
+
 _STATION_TABLE = (
     "SELECT n_nationkey AS station_id, n_name AS name, n_regionkey AS zone FROM nation"
 )
@@ -417,7 +422,7 @@ ORDER BY line_no DESC LIMIT 5) ORDER BY line_no"""
             [
                 _difference("flows", f"({_EVENTS})", "SELECT * FROM flows"),
                 _difference("zones", "SELECT * FROM zones", f"({_MEANS})"),
-                _difference("pairs", f"({_PAIRS})", f"({_PAIRS})"),
+                _difference("pairs", f"({_PAIRS})", f"({_RANKED})"),
             ]
         )
     ),
@@ -434,7 +439,7 @@ ORDER BY line_no DESC LIMIT 5) ORDER BY line_no"""
                 _difference(
                     "departures",
                     "SELECT origin, count(*) FROM valid GROUP BY 1",
-                    "SELECT station_id, n_departures FROM flows",
+                    "SELECT src, CAST(sum(weight) AS BIGINT) FROM arcs GROUP BY 1",
                 ),
                 _difference(
                     "pair_counts",
