@@ -64,7 +64,10 @@ def parse_timestamp(text: Column) -> Column:
     )
 
 
-def _as_double(text: Column) -> Column:
+def parse_number(text: Column) -> Column:
+    """Double, or null for text that is no number; also null for ``nan`` and
+    ``inf``. A number too large for a double becomes infinite, as in Python.
+    """
     digits_only = F.regexp_replace(text, "[^0-9eE.+-]", "")
     return F.when(text.rlike(_NUMBER_PLAIN), text.try_cast("double")).when(
         text.rlike(_NUMBER_LOOSE), digits_only.try_cast("double")
@@ -72,16 +75,10 @@ def _as_double(text: Column) -> Column:
 
 
 def is_finite(value: Column) -> Column:
-    """True for a number that is neither NaN nor infinite."""
+    """True for a number that is neither NaN nor infinite; null for null."""
     return ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
 
 
-def parse_number(text: Column) -> Column:
-    """Finite double, or null (also for ``nan``, ``inf`` and overflow)."""
-    value = _as_double(text)
-    return F.when(is_finite(value), value)
-
-
 def is_number(text: Column) -> Column:
     """True when Python's ``float`` would accept the text, ``nan`` included."""
     return text.rlike(_NUMBER_LOOSE) | text.rlike(_NON_FINITE)
@@ -94,14 +91,17 @@ def not_above_zero(text: Column) -> Column:
     """
     return (
         ~is_number(text)
-        | F.coalesce(_as_double(text) <= 0, F.lit(False))
+        | F.coalesce(parse_number(text) <= 0, F.lit(False))
         | text.rlike(_NEGATIVE_INF)
     )
 
 
 def month_of(ts: Column) -> Column:
-    """Calendar month as ``yyyy-MM`` text, the partition key of the layer."""
-    return F.date_format(ts, "yyyy-MM")
+    """Calendar month as ``yyyy-MM`` text, the partition key of the layer.
+
+    By way of the date, so that no clock change of the session's zone matters.
+    """
+    return F.date_format(F.to_date(ts), "yyyy-MM")
 
 
 def between(ts: Column, start: datetime, end: datetime) -> Column:

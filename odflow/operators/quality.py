@@ -56,6 +56,9 @@ def check_lines(lines: DataFrame, stations: DataFrame, spec: TripSpec) -> DataFr
         F.lit(True).alias("_destination_known"),
     )
     col = F.col
+    numeric = F.coalesce(
+        is_finite(col("duration")) & is_finite(col("distance")), F.lit(False)
+    )
     reason = (
         F.when(~col("well_formed"), reasons.FORMAT)
         .when(col("ts").isNull(), reasons.DATE)
@@ -64,9 +67,7 @@ def check_lines(lines: DataFrame, stations: DataFrame, spec: TripSpec) -> DataFr
             col("_origin_known").isNull() | col("_destination_known").isNull(),
             reasons.STATION,
         )
-        .when(
-            col("duration").isNull() | col("distance").isNull(), reasons.NOT_NUMERIC
-        )
+        .when(~numeric, reasons.NOT_NUMERIC)
         .when((col("duration") <= 0) | (col("distance") <= 0), reasons.NOT_POSITIVE)
         .when(col("origin") == col("destination"), reasons.LOOP)
         .when(~col("kind").isin(*spec.kinds), reasons.KIND)

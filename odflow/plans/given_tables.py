@@ -104,7 +104,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     date = (
         F.when(at(97, 1), "01/02/2000 10:00")
         .when(at(83, 2), "2000-2-1 3:4:5")
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+        .otherwise(F.col("o_orderdate").cast("string"))
     )
     origin = (
         F.when(at(101, 3), "S99")

@@ -457,9 +457,7 @@ def trips_typed_csv(spark, sf_dir):
         *(F.col(f.name).cast(f.dataType) for f in TRIP_SCHEMA)
     )
     path = scratch_path(spark, "trips")
-    tables.write_result(
-        trips.withColumn("ts", F.date_format("ts", tables.TIMESTAMP_FORMAT)), path
-    )
+    tables.write_result(trips.withColumn("ts", F.col("ts").cast("string")), path)
     return tables.read_trips(spark, path).select(*TRIP_FIELDS)
 
 
