@@ -2,6 +2,7 @@
 
 from odflow.functions.parsing import (
     between,
+    field_count,
     is_blank,
     is_finite,
     is_number,
@@ -14,6 +15,7 @@ from odflow.functions.parsing import (
 
 __all__ = [
     "between",
+    "field_count",
     "is_blank",
     "is_finite",
     "is_number",

@@ -51,6 +51,11 @@ def well_formed(line: Column, n_fields: int) -> Column:
     return line.rlike(rf"(?U)^(?:{field},){{{n_fields - 1}}}{field}\z")
 
 
+def field_count(line: Column) -> Column:
+    """Number of comma-separated fields; counts commas and builds no array."""
+    return F.length(line) - F.length(F.replace(line, F.lit(","), F.lit(""))) + 1
+
+
 def parse_timestamp(text: Column) -> Column:
     """Timestamp without time zone, or null.
 

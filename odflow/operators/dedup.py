@@ -1,4 +1,4 @@
-"""First occurrence per key and its complement, safe for very frequent keys."""
+"""First occurrence per key, and the keys that repeat; safe for frequent keys."""
 
 from __future__ import annotations
 
@@ -38,15 +38,6 @@ def repeated_keys(df: DataFrame, key: str, order: str) -> DataFrame:
     return materialize(repeated, "repeated-keys")
 
 
-def later_occurrences(df: DataFrame, key: str, order: str) -> DataFrame:
-    """Every row that :func:`first_occurrence` drops."""
-    return (
-        df.join(repeated_keys(df, key, order), key)
-        .filter(F.col(order) > F.col("first_seen"))
-        .select(*df.columns)
-    )
-
-
 def first_by_minimum(df: DataFrame, key: str, order: str) -> DataFrame:
     """:func:`first_occurrence` as minimum per key and join; a cross-check."""
     minimum = df.groupBy(key).agg(F.min(order).alias("_first"))

@@ -2,32 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from odflow.functions import is_blank, not_above_zero, parse_timestamp
+from odflow.functions import (
+    field_count,
+    is_blank,
+    not_above_zero,
+    parse_timestamp,
+)
 from odflow.spec import TRIP_FIELDS
 
 
 def split_lines(lines: DataFrame) -> DataFrame:
-    """``lines`` with ``fields``, the cells of the line as text."""
-    return lines.withColumn("fields", F.split("raw", ",", -1))
-
-
-def _cell(name: str) -> Column:
-    return F.get("fields", F.lit(TRIP_FIELDS.index(name)))
+    """``lines`` with the text of every cell; a missing cell is null."""
+    cells = lines.withColumn("_fields", F.split("raw", ",", -1))
+    return cells.select(
+        "line_no",
+        "raw",
+        *(F.get("_fields", F.lit(i)).alias(n) for i, n in enumerate(TRIP_FIELDS)),
+    )
 
 
-def complete_lines(split: DataFrame) -> DataFrame:
-    """Lines with exactly one cell per column; the text of each under its name."""
-    return split.filter(F.size("fields") == len(TRIP_FIELDS)).select(
-        "line_no", "raw", *(_cell(n).alias(n) for n in TRIP_FIELDS)
-    )
+def complete_lines(lines: DataFrame) -> DataFrame:
+    """:func:`split_lines` of the lines with exactly one cell per column."""
+    return split_lines(lines.filter(field_count(F.col("raw")) == len(TRIP_FIELDS)))
 
 
-def field_counts(split: DataFrame) -> DataFrame:
+def field_counts(lines: DataFrame) -> DataFrame:
     """Lines by number of cells."""
-    return split.groupBy(F.size("fields").alias("n_fields")).agg(
+    return lines.groupBy(field_count(F.col("raw")).alias("n_fields")).agg(
         F.count("*").alias("n_lines")
     )
 
@@ -37,13 +41,11 @@ def value_counts(complete: DataFrame, column: str = "kind") -> DataFrame:
     return complete.groupBy(column).agg(F.count("*").alias("n_lines"))
 
 
-def blank_counts(split: DataFrame) -> DataFrame:
+def blank_counts(lines: DataFrame) -> DataFrame:
     """Missing or blank cells per column, all columns in one pass."""
-    counts = split.agg(
-        *(
-            F.count_if(F.coalesce(is_blank(_cell(n)), F.lit(True))).alias(n)
-            for n in TRIP_FIELDS
-        )
+    missing = {n: F.coalesce(is_blank(F.col(n)), F.lit(True)) for n in TRIP_FIELDS}
+    counts = split_lines(lines).agg(
+        *(F.count_if(is_missing).alias(n) for n, is_missing in missing.items())
     )
     return counts.unpivot([], list(TRIP_FIELDS), "column", "n_blank")
 
@@ -87,23 +89,43 @@ def anomaly_counts(marked: DataFrame) -> DataFrame:
     return counts.unpivot([], list(ANOMALIES), "anomaly", "n_lines")
 
 
-def anomaly_sample(marked: DataFrame, anomaly: str, n: int) -> DataFrame:
-    """The first ``n`` lines with the anomaly."""
+def anomaly_samples(marked: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """The first lines with each anomaly, as many as ``sizes`` asks for.
+
+    One pass for all anomalies; each map task passes on its first few lines of
+    each, so a frequent anomaly does not gather in one task.
+    """
+
+    def named(anomaly: str) -> Column:
+        return F.when(F.col(anomaly), F.lit(anomaly))
+
+    found = marked.select(
+        F.explode(F.array_compact(F.array(*map(named, sizes)))).alias("anomaly"),
+        "line_no",
+        "raw",
+    )
+    position = F.row_number().over(Window.partitionBy("anomaly").orderBy("line_no"))
+    wanted = F.create_map(*(F.lit(x) for kv in sizes.items() for x in kv))
     return (
-        marked.filter(F.col(anomaly)).orderBy("line_no").limit(n)
-    ).select("line_no", "raw")
+        found.withColumn("_position", position)
+        .filter(F.col("_position") <= max(sizes.values()))
+        .filter(F.col("_position") <= wanted[F.col("anomaly")])
+        .drop("_position")
+    )
 
 
 def date_range(complete: DataFrame) -> DataFrame:
     """Smallest and largest date text among the texts that parse."""
-    dated = complete.filter(parse_timestamp(F.col("ts")).isNotNull())
-    return dated.agg(F.min("ts").alias("min_date"), F.max("ts").alias("max_date"))
+    dated = F.when(parse_timestamp(F.col("ts")).isNotNull(), F.col("ts"))
+    return complete.select(dated.alias("ts")).agg(
+        F.min("ts").alias("min_date"), F.max("ts").alias("max_date")
+    )
 
 
-def repeated_ids(split: DataFrame) -> DataFrame:
+def repeated_ids(lines: DataFrame) -> DataFrame:
     """Ids on more than one line, over all lines, whatever their shape."""
     return (
-        split.groupBy(_cell("trip_id").alias("trip_id"))
+        lines.groupBy(F.substring_index("raw", ",", 1).alias("trip_id"))
         .agg(F.count("*").alias("n_lines"))
         .filter(F.col("n_lines") > 1)
     )

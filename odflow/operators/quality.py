@@ -14,11 +14,7 @@ from odflow.functions import (
     parse_timestamp,
     well_formed,
 )
-from odflow.operators.dedup import (
-    first_occurrence,
-    later_occurrences,
-    repeated_keys,
-)
+from odflow.operators.dedup import first_occurrence, repeated_keys
 from odflow.spec import REASONS, TRIP_FIELDS, TripSpec
 
 
@@ -81,8 +77,8 @@ def check_lines(lines: DataFrame, stations: DataFrame, spec: TripSpec) -> DataFr
 
 
 def passing(checked: DataFrame) -> DataFrame:
-    """Lines that pass rules 1 to 8."""
-    return checked.filter(F.col("reason").isNull())
+    """Lines that pass rules 1 to 8, without the then empty ``reason``."""
+    return checked.filter(F.col("reason").isNull()).drop("reason")
 
 
 def valid_trips(checked: DataFrame) -> DataFrame:
@@ -94,22 +90,6 @@ def valid_trips(checked: DataFrame) -> DataFrame:
     return first_occurrence(trips, "trip_id", ["line_no"]).drop("line_no")
 
 
-def rejects(checked: DataFrame) -> DataFrame:
-    """``(reason, line_no, raw)`` of every rejected line, unordered."""
-    by_rule = checked.filter(F.col("reason").isNotNull())
-    repeats = later_occurrences(
-        passing(checked).select("line_no", "raw", "trip_id"), "trip_id", "line_no"
-    )
-    return by_rule.select("reason", "line_no", "raw").unionByName(
-        repeats.select(F.lit(reasons.DUPLICATE).alias("reason"), "line_no", "raw")
-    )
-
-
-def reject_detail(checked: DataFrame) -> DataFrame:
-    """The rejected lines in file order."""
-    return rejects(checked).orderBy("line_no")
-
-
 def classify(checked: DataFrame) -> DataFrame:
     """``checked`` with the final ``reason``, duplicate ids included."""
     repeated = repeated_keys(passing(checked), "trip_id", "line_no")
@@ -124,6 +104,19 @@ def classify(checked: DataFrame) -> DataFrame:
     )
 
 
+def rejects(checked: DataFrame) -> DataFrame:
+    """``(reason, line_no, raw)`` of every rejected line, in file order.
+
+    Lines rejected by a rule and repeated ids come out of one pass.
+    """
+    return (
+        classify(checked)
+        .filter(F.col("reason").isNotNull())
+        .select("reason", "line_no", "raw")
+        .orderBy("line_no")
+    )
+
+
 def reason_counts(checked: DataFrame) -> DataFrame:
     """``(reason, n_lines)`` including duplicates; null reason = valid.
 

@@ -15,8 +15,9 @@ from odflow.spec import TRIP_FIELDS, TripSpec
 
 @dataclass(frozen=True)
 class Inputs:
-    """Numbered lines, checked lines and stations of one data set."""
+    """One data set: lines as scanned, numbered and checked, and the stations."""
 
+    raw: DataFrame
     lines: DataFrame
     checked: DataFrame
     stations: DataFrame
@@ -41,30 +42,29 @@ def load(
     raw = line_source.read_lines(spark, trips_path, header)
     lines = line_source.number_lines(raw)
     checked = materialize(quality.check_lines(lines, stations, spec), "checked")
-    return Inputs(checked.select("line_no", "raw"), checked, stations)
+    return Inputs(raw, checked.select("line_no", "raw"), checked, stations)
 
 
 def quality_results(inputs: Inputs) -> dict[str, DataFrame]:
     """Reject counts by rule, rejected lines, and the control totals."""
     return {
         "reject_summary": quality.reject_summary(inputs.checked),
-        "rejects": quality.reject_detail(inputs.checked),
-        "reconciliation": quality.reconcile(inputs.lines, inputs.checked),
+        "rejects": quality.rejects(inputs.checked),
+        "reconciliation": quality.reconcile(inputs.raw, inputs.checked),
     }
 
 
 def profile_results(inputs: Inputs) -> dict[str, DataFrame]:
     """What the raw lines look like before the rules."""
-    split = profile.split_lines(inputs.lines)
-    complete = profile.complete_lines(split)
+    complete = profile.complete_lines(inputs.lines)
     marked = profile.mark_anomalies(complete, inputs.stations)
     return {
-        "profile_field_counts": profile.field_counts(split),
-        "profile_blanks": profile.blank_counts(split),
+        "profile_field_counts": profile.field_counts(inputs.lines),
+        "profile_blanks": profile.blank_counts(inputs.lines),
         "profile_kinds": profile.value_counts(complete, "kind"),
         "profile_anomalies": profile.anomaly_counts(marked),
         "profile_date_range": profile.date_range(complete),
-        "profile_duplicates": profile.repeated_ids(split),
+        "profile_duplicates": profile.repeated_ids(inputs.lines),
         "profile_tail": profile.tail(inputs.lines),
     }
 

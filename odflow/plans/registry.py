@@ -95,7 +95,7 @@ def reject_summary(spark, sf_dir):
 
 @query
 def reject_detail(spark, sf_dir):
-    return quality.reject_detail(checked_lines(spark, sf_dir))
+    return quality.rejects(checked_lines(spark, sf_dir))
 
 
 @query
@@ -193,7 +193,7 @@ def month_pruned_scan(spark, sf_dir):
 
 
 def _complete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.complete_lines(profile.split_lines(given.lines(spark, sf_dir)))
+    return profile.complete_lines(given.lines(spark, sf_dir))
 
 
 def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,7 +209,7 @@ def line_count(spark, sf_dir):
 
 @query
 def profile_field_counts(spark, sf_dir):
-    return profile.field_counts(profile.split_lines(given.lines(spark, sf_dir)))
+    return profile.field_counts(given.lines(spark, sf_dir))
 
 
 @query
@@ -219,7 +219,7 @@ def profile_kinds(spark, sf_dir):
 
 @query
 def profile_blanks(spark, sf_dir):
-    return profile.blank_counts(profile.split_lines(given.lines(spark, sf_dir)))
+    return profile.blank_counts(given.lines(spark, sf_dir))
 
 
 @query
@@ -229,22 +229,18 @@ def profile_anomalies(spark, sf_dir):
 
 @query
 def profile_anomaly_samples(spark, sf_dir):
-    sizes = {"unknown_station": 5, "bad_duration": 10, "bad_distance": 10}
-    sizes["bad_date"] = 10
-    marked = _marked(spark, sf_dir)
-    samples = [
-        profile.anomaly_sample(marked, a, n).select(F.lit(a).alias("anomaly"), "*")
-        for a, n in sizes.items()
-    ]
-    first, *others = samples
-    for other in others:
-        first = first.unionByName(other)
-    return first
+    sizes = {
+        "unknown_station": 5,
+        "bad_duration": 10,
+        "bad_distance": 10,
+        "bad_date": 10,
+    }
+    return profile.anomaly_samples(_marked(spark, sf_dir), sizes)
 
 
 @query
 def profile_duplicates(spark, sf_dir):
-    return profile.repeated_ids(profile.split_lines(given.lines(spark, sf_dir)))
+    return profile.repeated_ids(given.lines(spark, sf_dir))
 
 
 @query

@@ -202,12 +202,11 @@ def test_profile(spark, stations):
     lines = spark.createDataFrame(
         list(enumerate(raw, 1)), "line_no BIGINT, raw STRING"
     )
-    split = profile.split_lines(lines)
-    complete = profile.complete_lines(split)
+    complete = profile.complete_lines(lines)
     marked = profile.mark_anomalies(complete, stations)
-    assert dict(rows(profile.field_counts(split))) == {7: 4, 2: 1, 1: 1}
+    assert dict(rows(profile.field_counts(lines))) == {7: 4, 2: 1, 1: 1}
     assert dict(rows(profile.value_counts(complete))) == {"annuel": 3, "mensuel": 1}
-    assert dict(rows(profile.blank_counts(split))) == {
+    assert dict(rows(profile.blank_counts(lines))) == {
         "trip_id": 1,
         "ts": 1,
         "origin": 2,
@@ -223,11 +222,15 @@ def test_profile(spark, stations):
         "bad_distance": 1,
         "bad_date": 1,
     }
-    sample = profile.anomaly_sample(marked, "unknown_station", 1)
-    assert [r["line_no"] for r in sample.collect()] == [3]
+    sample = profile.anomaly_samples(marked, {"unknown_station": 1, "bad_duration": 3})
+    assert sorted((r["anomaly"], r["line_no"]) for r in sample.collect()) == [
+        ("bad_duration", 3),
+        ("bad_duration", 4),
+        ("unknown_station", 3),
+    ]
     assert rows(profile.date_range(complete)) == [
         ("2026-02-01 10:00:00", "2026-2-1 9:00:00")
     ]
-    assert rows(profile.repeated_ids(split)) == [("T1", 2)]
+    assert rows(profile.repeated_ids(lines)) == [("T1", 2)]
     assert [r["line_no"] for r in profile.tail(lines, 2).collect()] == [5, 6]
     assert [r["line_no"] for r in profile.lines_from(lines, 4).collect()] == [4, 5, 6]
