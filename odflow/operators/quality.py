@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -188,8 +191,11 @@ def clean_typed(
     ``order`` decides which row of a repeated id is the first.
     """
     ids = stations.select("station_id")
-    sound = trips.dropna(subset=list(TRIP_FIELDS)).filter(
-        (F.col("duration") > 0)
+    # One not-null test per column, unlike dropna, reaches the scan.
+    complete = reduce(and_, (F.col(n).isNotNull() for n in TRIP_FIELDS))
+    sound = trips.filter(
+        complete
+        & (F.col("duration") > 0)
         & (F.col("distance") > 0)
         & is_finite(F.col("duration"))
         & is_finite(F.col("distance"))

@@ -67,3 +67,18 @@ def test_reject_summary_never_shuffles_the_text(spark):
     text = plan(registry.quality.reason_counts(checked))
     for node in re.findall(r"HashAggregate\(keys=\[([^\]]*)\]", text):
         assert "raw" not in node
+
+
+@pytest.mark.parametrize(
+    "name", ["classify_text", "valid_lines", "reject_detail", "clean_trips"]
+)
+def test_generated_code_stays_compilable(spark, name):
+    """The JVM only interprets methods above 8000 bytes, many times slower."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        execution = queries()[name](spark, SF_DIR)._jdf.queryExecution()
+        text = spark._jvm.PythonSQLUtils.explainString(execution, "codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
