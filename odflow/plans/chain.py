@@ -99,9 +99,12 @@ def graph_results(trips: DataFrame, stations: DataFrame) -> dict[str, DataFrame]
 def typed_trips(
     spark: SparkSession, trips_path: str, stations: DataFrame, spec: TripSpec
 ) -> DataFrame:
-    """Valid trips by the other way: CSV reader and columnar rules."""
+    """Valid trips by the other way: CSV reader and columnar rules.
+
+    Header lines are read as data, whichever files have one; the rules drop them.
+    """
     return quality.clean_typed(
-        tables.read_trips(spark, trips_path),
+        tables.read_trips(spark, trips_path, header=False),
         stations,
         spec,
         ["file_path", "block_start", "scan_row"],

@@ -23,17 +23,22 @@ def read_stations(
 
 
 def read_trips(
-    spark: SparkSession, path: str, schema: StructType = TRIP_SCHEMA
+    spark: SparkSession,
+    path: str,
+    schema: StructType = TRIP_SCHEMA,
+    header: bool = True,
 ) -> DataFrame:
     """Trip table from CSV, with the file position of every row.
 
     A cell that does not convert becomes null. ``file_path, block_start,
     scan_row`` order the rows as in the files, over any number of files.
+
+    With ``header`` every file must begin with a header line. Without it all
+    lines are data; a header then is a row without date and numbers.
     """
     reader = spark.read.option("timestampNTZFormat", TIMESTAMP_FORMAT)
-    return reader.csv(path, header=True, schema=schema, mode="PERMISSIVE").select(
-        *schema.fieldNames(), *split_position()
-    )
+    table = reader.csv(path, header=header, schema=schema, mode="PERMISSIVE")
+    return table.select(*schema.fieldNames(), *split_position())
 
 
 def read_inferred(spark: SparkSession, path: str) -> DataFrame:

@@ -5,10 +5,10 @@ from datetime import datetime
 import pytest
 from pyspark.errors import PySparkException
 
-from odflow.operators import indicators
+from odflow.operators import indicators, quality
 from odflow.sources import lines as line_source
 from odflow.sources import scratch, tables
-from odflow.spec import TRIP_SCHEMA
+from odflow.spec import TRIP_SCHEMA, TripSpec
 
 HEADER = "trip_id,ts,origin,destination,duration,distance,kind"
 
@@ -102,6 +102,16 @@ def test_trips_csv_is_permissive_and_ordered(spark, tmp_path, small_splits):
     assert ordered[0]["ts"] == datetime(2026, 2, 1, 10)
 
 
+def test_header_in_the_first_file_only(spark, tmp_path):
+    stations = spark.createDataFrame([("S1",), ("S2",)], "station_id STRING")
+    for n, head in enumerate([HEADER + "\n", "", HEADER + "\n"]):
+        row = f"T{n},2026-02-01 10:00:00,S1,S2,3,1.5,annuel\n"
+        (tmp_path / f"{n}.csv").write_text(head + row)
+    trips = tables.read_trips(spark, str(tmp_path), header=False)
+    clean = quality.clean_typed(trips, stations, TripSpec(), ["file_path", "scan_row"])
+    assert sorted(r["trip_id"] for r in clean.collect()) == ["T0", "T1", "T2"]
+
+
 @pytest.fixture
 def trips(spark):
     rows = [
