@@ -39,8 +39,16 @@ def repeated_keys(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def first_by_minimum(df: DataFrame, key: str, order: str) -> DataFrame:
-    """:func:`first_occurrence` as minimum per key and join; a cross-check."""
-    minimum = df.groupBy(key).agg(F.min(order).alias("_first"))
+    """:func:`first_occurrence` as minimum per key and join; a cross-check.
+
+    Grouping by the hash as well leaves the minima with a partitioning of their
+    own, so that the join shuffles both sides and can split a frequent key.
+    """
+    minimum = (
+        df.groupBy(key, F.xxhash64(key).alias("_hash"))
+        .agg(F.min(order).alias("_first"))
+        .drop("_hash")
+    )
     return (
         df.join(minimum, key)
         .filter(F.col(order) == F.col("_first"))

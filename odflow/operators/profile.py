@@ -11,6 +11,7 @@ from odflow.functions import (
     not_above_zero,
     parse_timestamp,
 )
+from odflow.operators.membership import mark_known
 from odflow.spec import TRIP_FIELDS
 
 
@@ -56,27 +57,16 @@ def mark_anomalies(complete: DataFrame, stations: DataFrame) -> DataFrame:
     Unlike the rules, every anomaly of a line is marked, and ``nan`` and ``inf``
     count as positive numbers.
     """
-    known = stations.select("station_id").distinct()
-
-    def side(column: str) -> DataFrame:
-        return known.select(
-            F.col("station_id").alias(column), F.lit(True).alias(f"_{column}_known")
-        )
-
-    return (
-        complete.join(side("origin"), "origin", "left")
-        .join(side("destination"), "destination", "left")
-        .select(
-            "line_no",
-            "raw",
-            (
-                F.col("_origin_known").isNull() | F.col("_destination_known").isNull()
-            ).alias("unknown_station"),
-            (F.col("origin") == F.col("destination")).alias("loop"),
-            not_above_zero(F.col("duration")).alias("bad_duration"),
-            not_above_zero(F.col("distance")).alias("bad_distance"),
-            parse_timestamp(F.col("ts")).isNull().alias("bad_date"),
-        )
+    located = mark_known(complete, stations, ["origin", "destination"])
+    unknown = F.col("origin_known").isNull() | F.col("destination_known").isNull()
+    return located.select(
+        "line_no",
+        "raw",
+        unknown.alias("unknown_station"),
+        (F.col("origin") == F.col("destination")).alias("loop"),
+        not_above_zero(F.col("duration")).alias("bad_duration"),
+        not_above_zero(F.col("distance")).alias("bad_distance"),
+        parse_timestamp(F.col("ts")).isNull().alias("bad_date"),
     )
 
 

@@ -18,6 +18,7 @@ from odflow.functions import (
     well_formed,
 )
 from odflow.operators.dedup import first_occurrence, repeated_keys
+from odflow.operators.membership import mark_known
 from odflow.spec import REASONS, TRIP_FIELDS, TripSpec
 
 
@@ -46,14 +47,6 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
 def check_lines(lines: DataFrame, stations: DataFrame, spec: TripSpec) -> DataFrame:
     """Rules 1 to 8: parsed lines with ``reason``, null for a line that passes."""
-    known = stations.select("station_id").distinct()
-    origins = known.select(
-        F.col("station_id").alias("origin"), F.lit(True).alias("_origin_known")
-    )
-    destinations = known.select(
-        F.col("station_id").alias("destination"),
-        F.lit(True).alias("_destination_known"),
-    )
     col = F.col
     numeric = F.coalesce(
         is_finite(col("duration")) & is_finite(col("distance")), F.lit(False)
@@ -63,7 +56,7 @@ def check_lines(lines: DataFrame, stations: DataFrame, spec: TripSpec) -> DataFr
         .when(col("ts").isNull(), reasons.DATE)
         .when(~between(col("ts"), spec.start, spec.end), reasons.PERIOD)
         .when(
-            col("_origin_known").isNull() | col("_destination_known").isNull(),
+            col("origin_known").isNull() | col("destination_known").isNull(),
             reasons.STATION,
         )
         .when(~numeric, reasons.NOT_NUMERIC)
@@ -71,12 +64,8 @@ def check_lines(lines: DataFrame, stations: DataFrame, spec: TripSpec) -> DataFr
         .when(col("origin") == col("destination"), reasons.LOOP)
         .when(~col("kind").isin(*spec.kinds), reasons.KIND)
     )
-    return (
-        parse_lines(lines)
-        .join(origins, "origin", "left")
-        .join(destinations, "destination", "left")
-        .select("line_no", "raw", *TRIP_FIELDS, reason.alias("reason"))
-    )
+    located = mark_known(parse_lines(lines), stations, ["origin", "destination"])
+    return located.select("line_no", "raw", *TRIP_FIELDS, reason.alias("reason"))
 
 
 def passing(checked: DataFrame) -> DataFrame:

@@ -4,10 +4,12 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from odflow.operators import indicators
+from odflow.operators import indicators, quality
 from odflow.plans import registry
+from odflow.spec import TripSpec
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -82,3 +84,43 @@ def test_generated_code_stays_compilable(spark, name):
         spark.conf.unset("spark.sql.adaptive.enabled")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
     assert sizes and max(sizes) < 8000
+
+
+def test_samples_prune_before_the_shuffle(spark):
+    text = plan(queries()["profile_anomaly_samples"](spark, SF_DIR))
+    assert re.search(r"WindowGroupLimit .*row_number\(\), 10, Partial", text)
+
+
+def test_frequent_id_is_split_when_repeats_are_too_many_to_broadcast(spark):
+    """Half the lines share an id; the shuffle join must spread them over tasks."""
+    line = "2026-02-01 10:00:00,S1,S2,5,1.5,annuel"
+    ids = F.when(F.col("id") % 2 == 0, "hot").otherwise(
+        F.concat(F.lit("T"), F.col("id") % 9000)
+    )
+    lines = spark.range(0, 60000, 1, 12).select(
+        (F.col("id") + 1).alias("line_no"),
+        F.concat_ws(",", ids, F.lit(line)).alias("raw"),
+    )
+    stations = spark.createDataFrame([("S1",), ("S2",)], "station_id STRING")
+    checked = quality.check_lines(lines, stations, TripSpec())
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        result = quality.rejects(checked)
+        rows = result.collect()
+        text = plan(result)
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+    assert "skew=true" in text
+    # 30 000 lines of one id and 30 000 lines of 4 500 ids: one of each is valid.
+    assert len(rows) == 60000 - 1 - 4500
+    assert {r["reason"] for r in rows} == {"doublon_id"}
+    assert [r["line_no"] for r in rows] == sorted(r["line_no"] for r in rows)
