@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from odflow.llm import mixing, quality_rules, token_counts
+from odflow.llm import mixing, near_dedup, quality_rules, token_counts
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -29,6 +29,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
     return rated.select("doc_id", *quality_rules.MEASURES, "base_failed", "kept")
@@ -41,6 +45,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op3_near_dedup": op3_near_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op10_source_mixing": op10_source_mixing,
 }
