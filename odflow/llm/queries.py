@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from odflow.llm import mixing, near_dedup, quality_rules, token_counts
+from odflow.llm import mixing, near_dedup, packing, quality_rules, token_counts
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -33,6 +33,10 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2)
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
     return rated.select("doc_id", *quality_rules.MEASURES, "base_failed", "kept")
@@ -46,6 +50,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op3_near_dedup": op3_near_dedup,
+    "op4_packing": op4_packing,
     "op8_quality_rules": op8_quality_rules,
     "op10_source_mixing": op10_source_mixing,
 }
