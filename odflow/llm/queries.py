@@ -6,7 +6,15 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from odflow.llm import mixing, near_dedup, packing, quality_rules, token_counts
+from odflow.llm import (
+    mixing,
+    near_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    token_counts,
+    toxicity,
+)
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -29,6 +37,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2)
 
@@ -42,6 +55,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.select("doc_id", *quality_rules.MEASURES, "base_failed", "kept")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_classifier.fit(docs, _table(spark, sf_dir, "labels"))
+    return quality_classifier.quality(docs, model)
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -49,9 +68,11 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_toxicity": op2_toxicity,
     "op3_near_dedup": op3_near_dedup,
     "op4_packing": op4_packing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_source_mixing": op10_source_mixing,
 }
 

@@ -116,10 +116,12 @@ class Words:
         return mix64(out), first
 
 
-def split_words(data: np.ndarray, offsets: np.ndarray) -> Words:
+def split_words(
+    data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SPACE
+) -> Words:
     """Words of the texts ``data[offsets[i]:offsets[i + 1]]``."""
     n = len(data)
-    inside = ~SPACE[data]
+    inside = ~separator[data]
     begins = np.zeros(n + 1, bool)
     begins[offsets] = True
     before = np.empty(n, bool)
