@@ -2,14 +2,25 @@
 
 A text's set are its distinct shingles. Shingles are dealt into buckets by hash; of
 the smallest value in a bucket a register keeps the number of leading zeros and a few
-mantissa bits. Bands of registers find candidates; the share of equal registers,
+mantissa bits. The register of an empty bucket takes the smallest value of all shingles
+under a hash of its own. Bands of registers find candidates; a band is wide enough that
+a passage which many texts share does not bring them together; the share of equal registers,
 corrected for registers that agree by chance, drops candidates that are far off; the
 rest is confirmed on the full sets of hashes.
 
 Equal sets form a class first, and only one document of a class goes on. Members of a
-band are compared with the smallest one of the band; only those that this leaves in
-another component are compared with all others. So a band of many copies costs one
-comparison per copy, and no link between different texts is lost.
+band are compared with the smallest one of the band, its hub. What that leaves open is
+settled without comparing all pairs of the band:
+
+* The Jaccard distance is a metric. With links up to distance d, a text beyond 2 d of
+  the hub has no link to a text linked to the hub.
+* Texts within 2 d of the hub, but not linked to it, are joined with the others there
+  on their differences from the hub. Two texts with a link share more than a certain
+  number of these, so that it is enough to look up a part of one side's.
+* Texts beyond 2 d of the hub, which a band seldom has, are compared with those of the
+  band that are not linked to the hub.
+
+No link between different texts is lost by this.
 """
 
 from __future__ import annotations
@@ -19,7 +30,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odflow.llm.components import components
@@ -27,11 +38,18 @@ from odflow.llm.text import LOWER, mix64, split_words, text_slices
 from odflow.sources.scratch import materialize
 
 BUCKETS = 128
-BAND = 4
+BANDS = 64
+BAND = 6
 MANTISSA_BITS = 10
 SIGMAS = 6.0
 
 _BITS = BUCKETS.bit_length() - 1
+_SALT = mix64(np.arange(1, BUCKETS + 1, dtype=np.uint64))
+_ODD = mix64(_SALT) | np.uint64(1)
+# The registers of each band: random ones, a register serves several bands.
+_SUBSETS = np.stack(
+    [np.random.default_rng(i).choice(BUCKETS, BAND, replace=False) for i in range(BANDS)]
+)
 
 
 def shingle_sets(
@@ -51,20 +69,28 @@ def shingle_sets(
 
 
 def registers(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """One row of registers per text; 0 is an empty bucket."""
+    """One row of registers per text, all 0 for an empty set."""
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
     slot = doc * BUCKETS + (hashes >> np.uint64(64 - _BITS)).astype(np.int64)
     lowest = np.ones(len(slot), bool)
     lowest[1:] = slot[1:] != slot[:-1]
-    value = hashes[lowest] << np.uint64(_BITS) | np.uint64(1)
+    smallest = np.zeros((len(first) - 1) * BUCKETS, np.uint64)
+    smallest[slot[lowest]] = hashes[lowest] << np.uint64(_BITS) | np.uint64(1)
+    smallest = smallest.reshape(-1, BUCKETS)
+    empty = smallest == 0
+    for i in np.flatnonzero(empty.any(1) & (np.diff(first) > 0)).tolist():
+        own, bare = hashes[first[i] : first[i + 1]], empty[i]
+        with np.errstate(over="ignore"):
+            other = (own[:, None] ^ _SALT[bare]) * _ODD[bare]
+        smallest[i, bare] = other.min(0) | np.uint64(1)
     # A float's exponent counts the leading zeros, and its mantissa begins behind them.
-    packed = value.astype(np.float64).view(np.uint64) >> np.uint64(52 - MANTISSA_BITS)
+    packed = smallest.astype(np.float64).view(np.uint64) >> np.uint64(52 - MANTISSA_BITS)
     exponent = np.uint64(1023 + 64) - (packed >> np.uint64(MANTISSA_BITS))
     mantissa = packed & np.uint64((1 << MANTISSA_BITS) - 1)
-    out = np.zeros((len(first) - 1) * BUCKETS, np.uint16)
     exponent = np.minimum(exponent, np.uint64(62))
-    out[slot[lowest]] = (exponent << np.uint64(MANTISSA_BITS) | mantissa) + np.uint64(1)
-    return out.reshape(-1, BUCKETS)
+    out = (exponent << np.uint64(MANTISSA_BITS) | mantissa) + np.uint64(1)
+    out[smallest == 0] = 0
+    return out.astype(np.uint16)
 
 
 def jaccard_estimate(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,13 +138,12 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         rows = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16)
-        rows = rows.reshape(-1, BUCKETS // BAND, BAND).astype(np.uint64)
-        band = np.arange(1, BUCKETS // BAND + 1, dtype=np.uint64)
-        key = np.broadcast_to(mix64(band), rows.shape[:2])
+        rows = rows.reshape(-1, BUCKETS).astype(np.uint64)
+        key = np.broadcast_to(mix64(np.arange(1, BANDS + 1, dtype=np.uint64)), (len(rows), BANDS))
         with np.errstate(over="ignore"):
             for j in range(BAND):
-                key = mix64(key + rows[:, :, j])
-        doc, column = np.nonzero(rows.any(2))
+                key = mix64(key + rows[:, _SUBSETS[:, j]])
+        doc, column = np.nonzero(np.broadcast_to(rows.any(1)[:, None], key.shape))
         ids = batch.column(0).take(pa.array(doc))
         yield pa.RecordBatch.from_arrays(
             [pa.array(key[doc, column].view(np.int64)), ids], ["band", "id"]
@@ -128,8 +153,8 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _estimate(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     """Keep the pairs whose similarity may reach the threshold.
 
-    The margin is six standard deviations of the share of equal registers at the
-    threshold, so that a pair above it is practically never dropped.
+    The margin is six standard deviations of the share of equal registers, so that a
+    pair above the threshold is practically never dropped.
     """
     for batch in batches:
         if not batch.num_rows:
@@ -157,48 +182,185 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
             )
 
 
-def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _members(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(v.as_buffer(), np.uint64) for v in column]
+
+
+def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sizes of two sets and of their intersection."""
     for batch in batches:
-        keep = []
-        for x, y in zip(batch.column(2), batch.column(3), strict=True):
-            a, b = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            keep.append(100 * both >= percent * (len(a) + len(b) - both))
-        keep = pa.array(keep, pa.bool_())
+        left, right = _members(batch.column(2)), _members(batch.column(3))
+        both = [
+            len(np.intersect1d(x, y, assume_unique=True))
+            for x, y in zip(left, right, strict=True)
+        ]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"]
+            [
+                *batch.columns[:2],
+                *(pa.array([len(x) for x in side], pa.int64()) for side in (left, right)),
+                pa.array(both, pa.int64()),
+            ],
+            ["a", "b", "n_a", "n_b", "both"],
+        )
+
+
+def _differences(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Elements by which a text (b) differs from its hub (a), those added first.
+
+    ``cost`` is percent per added and 100 per removed element. Two texts are linked
+    exactly if (100 + percent) times the number of differences they share is at least
+    the sum of their costs, less (100 - percent) times the size of the hub. For a text
+    not linked to the hub, the cost alone exceeds the latter. So a partner shares more
+    than cost / (100 + percent) of its own differences with it, and one of the first
+    ones, which ``first`` marks, is among the shared.
+    """
+    for batch in batches:
+        parts = []
+        for i, (h, y) in enumerate(zip(*map(_members, batch.columns[2:4]), strict=True)):
+            added = np.setdiff1d(y, h, assume_unique=True)
+            removed = np.setdiff1d(h, y, assume_unique=True)
+            cost = percent * len(added) + 100 * len(removed)
+            n = len(added) + len(removed)
+            first = np.arange(n) < n - cost // (100 + percent)
+            element = np.concatenate([added, ~removed]).view(np.int64)
+            parts.append((np.full(n, i), element, np.full(n, cost), np.full(n, n), first))
+        if not parts:
+            continue
+        row, element, cost, n, first = (np.concatenate(x) for x in zip(*parts, strict=True))
+        row = pa.array(row)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0).take(row),
+                batch.column(1).take(row),
+                batch.column(4).take(row),
+                *(pa.array(x) for x in (element, cost, n, first)),
+            ],
+            ["hub", "id", "slack", "element", "cost", "n", "first"],
         )
 
 
 def _with_both(pairs: DataFrame, side: DataFrame, value: str) -> DataFrame:
-    """``(a, b, value of a, value of b)``; both sides are written tables."""
+    """``pairs`` with the values of both ends; all are written tables."""
     left = side.select(F.col("id").alias("a"), F.col(value).alias("_va"))
     right = side.select(F.col("id").alias("b"), F.col(value).alias("_vb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "_va", "_vb")
+    rest = [c for c in pairs.columns if c not in ("a", "b")]
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "_va", "_vb", *rest)
+
+
+class _Comparer:
+    """Compares pairs of documents: estimate first, full sets then."""
 
+    def __init__(self, docs: DataFrame, marks: DataFrame, shingle: int, percent: int) -> None:
+        self.docs, self.marks = docs, marks
+        self.shingle, self.percent = shingle, percent
+        self.kind = docs.schema["doc_id"].dataType.simpleString()
 
-def _confirmed(
-    docs: DataFrame, pairs: DataFrame, marks: DataFrame, shingle: int, percent: int, kind: str
+    def estimated(self, pairs: DataFrame, percent: int) -> DataFrame:
+        """The pairs whose similarity may be ``percent`` or more."""
+        found = _with_both(pairs, self.marks, "registers").mapInArrow(
+            partial(_estimate, threshold=percent / 100), f"a {self.kind}, b {self.kind}"
+        )
+        return materialize(found, "near-pairs")
+
+    def sets(self, pairs: DataFrame) -> DataFrame:
+        """``(id, members)`` of the documents in ``pairs``."""
+        needed = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
+        found = self.docs.join(
+            materialize(needed, "needed-ids"), F.col("doc_id") == F.col("_id"), "left_semi"
+        ).mapInArrow(
+            partial(_sets, n=self.shingle), f"id {self.kind}, members binary"
+        )
+        return materialize(found, "shingle-sets")
+
+    def compared(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """``(a, b, n_a, n_b, both)``: the exact sizes."""
+        sizes = _with_both(pairs, sets, "members").mapInArrow(
+            _overlap,
+            f"a {self.kind}, b {self.kind}, n_a bigint, n_b bigint, both bigint",
+        )
+        return materialize(sizes, "compared-pairs")
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        near = self.estimated(pairs, self.percent)
+        return self.compared(near, self.sets(near)).filter(reaches(self.percent)).select("a", "b")
+
+
+def reaches(percent: int) -> Column:
+    """The intersection is at least ``percent`` of the union."""
+    union = F.col("n_a") + F.col("n_b") - F.col("both")
+    return 100 * F.col("both") >= percent * union
+
+
+def _within_reach_of_hub(
+    compare: _Comparer, seen: DataFrame, sets: DataFrame, found: DataFrame
 ) -> DataFrame:
-    """The pairs that are links, as a written table."""
-    schema = f"a {kind}, b {kind}"
-    near = materialize(
-        _with_both(pairs, marks, "registers").mapInArrow(
-            partial(_estimate, threshold=percent / 100), schema
-        ),
-        "near-pairs",
+    """Pairs near the same hub that may be linked though one is not linked to the hub."""
+    percent = compare.percent
+    near = seen.filter(reaches(2 * percent - 100))
+    open_hubs = near.filter(~reaches(percent)).select(F.col("a").alias("_hub")).distinct()
+    open_hubs = materialize(open_hubs, "open-hubs")
+    near = near.join(open_hubs, F.col("a") == F.col("_hub"), "left_semi").select(
+        "a", "b", ((100 - percent) * F.col("n_a")).alias("slack")
     )
-    needed = near.select(F.col("a").alias("_id")).union(near.select("b")).distinct()
-    sets = docs.join(needed, F.col("doc_id") == F.col("_id"), "left_semi").mapInArrow(
-        partial(_sets, n=shingle), f"id {kind}, members binary"
+    kind = compare.kind
+    parts = _with_both(materialize(near, "hub-near"), sets, "members").mapInArrow(
+        partial(_differences, percent=percent),
+        f"hub {kind}, id {kind}, slack bigint, element bigint, cost bigint, n bigint, "
+        "first boolean",
     )
-    sets = materialize(sets, "shingle-sets")
-    return materialize(
-        _with_both(near, sets, "members").mapInArrow(
-            partial(_confirm, percent=percent), schema
-        ),
-        "confirmed-links",
+    parts = materialize(parts, "hub-differences")
+    loose = materialize(parts.filter(F.col("cost") > F.col("slack")), "loose-differences")
+    known = materialize(parts.filter("first"), "first-differences")
+    x, y = loose.alias("x"), known.alias("y")
+    needed = F.col("x.cost") + F.col("y.cost") - F.col("x.slack")
+    pairs = (
+        x.join(
+            y,
+            (F.col("x.hub") == F.col("y.hub"))
+            & (F.col("x.element") == F.col("y.element"))
+            & (F.col("x.id") != F.col("y.id"))
+            & ((100 + percent) * F.least("x.n", "y.n") >= needed),
+        )
+        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+        .distinct()
+    )
+    return _of_different_parts(materialize(pairs, "difference-pairs"), found)
+
+
+def _of_different_parts(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs that are not in the same component yet, as a written table."""
+    of_a = found.select(F.col("node").alias("a"), F.col("component").alias("_ca"))
+    of_b = found.select(F.col("node").alias("b"), F.col("component").alias("_cb"))
+    pairs = pairs.join(of_a, "a", "left").join(of_b, "b", "left")
+    apart = ~F.coalesce(F.col("_ca") == F.col("_cb"), F.lit(False))
+    return materialize(pairs.filter(apart).select("a", "b"), "open-pairs")
+
+
+def _out_of_reach_of_hub(
+    members: DataFrame, seen: DataFrame, found: DataFrame, percent: int
+) -> DataFrame:
+    """Pairs of a band that are not linked to its hub, one of them far from it."""
+    state = F.when(reaches(percent), 2).when(reaches(2 * percent - 100), 1)
+    state = materialize(
+        seen.select(F.col("a").alias("hub"), F.col("b").alias("id"), state.alias("state")),
+        "hub-states",
+    )
+    others = members.filter((F.col("n") > 2) & (F.col("id") != F.col("hub")))
+    placed = others.join(state, ["hub", "id"], "left").select(
+        "band", "id", F.coalesce("state", F.lit(0)).alias("state")
+    )
+    free = materialize(placed.filter(F.col("state") < 2), "free-members")
+    far = materialize(
+        free.filter(F.col("state") == 0).select(F.col("band"), F.col("id").alias("x")),
+        "far-members",
+    )
+    pairs = (
+        free.join(far, "band")
+        .filter(F.col("id") != F.col("x"))
+        .select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b"))
+        .distinct()
     )
+    return _of_different_parts(materialize(pairs, "far-pairs"), found)
 
 
 def near_duplicates(
@@ -253,11 +415,17 @@ def near_duplicates(
         .distinct(),
         "hub-pairs",
     )
-    links = _confirmed(docs, tested, marks, shingle, percent, kind)
+    compare = _Comparer(docs, marks, shingle, percent)
+    near = compare.estimated(tested, 2 * percent - 100)
+    sets = compare.sets(near)
+    seen = compare.compared(near, sets)
+    links = seen.filter(reaches(percent)).select("a", "b")
     found = materialize(components(links), "components")
-    rest = _across(members, found, tested)
+    rest = _within_reach_of_hub(compare, seen, sets, found).union(
+        _out_of_reach_of_hub(members, seen, found, percent)
+    )
     if not rest.isEmpty():
-        links = links.union(_confirmed(docs, rest, marks, shingle, percent, kind))
+        links = links.union(compare.links(materialize(rest.distinct(), "rest")))
         found = materialize(components(links), "components")
     of_class = materialize(
         classes.join(found, F.col("id") == F.col("node"), "left")
@@ -287,38 +455,6 @@ def near_duplicates(
     )
 
 
-def _across(members: DataFrame, found: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs of a band that are in different components and not yet compared.
-
-    Every such pair has a member outside the component that most of the band belongs
-    to; those members meet all others of their band. Bands of two are through.
-    """
-    part = members.filter(F.col("n") > 2).join(found, F.col("id") == F.col("node"), "left")
-    part = materialize(
-        part.select("band", "id", F.coalesce("component", "id").alias("part")), "band-parts"
-    )
-    main = materialize(
-        part.groupBy("band", "part")
-        .agg(F.count("*").alias("n"))
-        .groupBy("band")
-        .agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count("*").alias("parts"))
-        .filter(F.col("parts") > 1)
-        .drop("parts"),
-        "band-main",
-    )
-    split = materialize(part.join(main, "band"), "split-bands")
-    outside = split.filter(F.col("part") != F.col("main")).select(
-        "band", F.col("id").alias("x"), F.col("part").alias("xp")
-    )
-    pairs = (
-        split.join(materialize(outside, "outside"), "band")
-        .filter(F.col("part") != F.col("xp"))
-        .select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b"))
-        .distinct()
-    )
-    return materialize(pairs.join(tested, ["a", "b"], "left_anti"), "cross-pairs")
-
-
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each group of near copies, all columns kept.
 
