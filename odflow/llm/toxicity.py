@@ -31,8 +31,8 @@ from odflow.sources.scratch import materialize
 
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5, 6)
-MAX_ROWS = 6000
-MAX_BYTES = 20_000
+MAX_ROWS = 2500  # of each class
+MAX_BYTES = 10_000
 KNOWN_WORDS = 1 << 18
 
 SEPARATOR = np.ones(256, bool)
@@ -52,23 +52,26 @@ def word_grams(words: Words, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     sizes = ends - starts + 2
     base = np.concatenate([[0], np.cumsum(sizes)])
     data = np.empty(base[-1], np.uint8)
-    owner = np.repeat(np.arange(len(which)), sizes)
-    inside = np.arange(base[-1]) - base[owner]
+    owner = np.repeat(np.arange(len(which), dtype=np.int32), sizes)
+    inside = np.arange(base[-1], dtype=np.int32) - base[owner].astype(np.int32)
     source = np.clip(starts[owner] + inside - 1, 0, max(len(words.data) - 1, 0))
     if len(data):
         data[:] = words.data[source]
     data[base[:-1]] = ord("<")
     data[base[1:] - 1] = ord(">")
-    pieces, owners = [run_hashes(data, base[:-1], base[1:])], [np.arange(len(which))]
+    buckets = lambda at, to: (
+        run_hashes(data, at, to) % np.uint64(BUCKETS)
+    ).astype(np.int32)
+    pieces = [buckets(base[:-1], base[1:])]
+    owners = [np.arange(len(which), dtype=np.int32)]
     for n in GRAMS:
         at = np.flatnonzero(inside + n <= sizes[owner])
         at = at[sizes[owner[at]] > n]  # the whole word has its own entry
-        pieces.append(run_hashes(data, at, at + n))
+        pieces.append(buckets(at, at + n))
         owners.append(owner[at])
     owner = np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
-    grams = (np.concatenate(pieces)[order] % np.uint64(BUCKETS)).astype(np.int64)
-    return grams, np.searchsorted(owner[order], np.arange(len(which) + 1))
+    return np.concatenate(pieces)[order], np.searchsorted(owner[order], np.arange(len(which) + 1))
 
 
 @dataclass
@@ -102,8 +105,13 @@ def train(
     pair, times = np.unique(words.doc() * len(first) + word, return_counts=True)
     pair_doc, pair_word = pair // len(first), pair % len(first)
     weight = times / words.counts[pair_doc]
+    del word, pair, times
     grams, at = word_grams(words, first)
-    used, gram = np.unique(grams, return_inverse=True)
+    seen = np.zeros(BUCKETS, bool)
+    seen[grams] = True
+    used = np.flatnonzero(seen)
+    gram = (np.cumsum(seen) - 1)[grams]
+    del grams
     per_word = np.diff(at)
     word_of_gram = np.repeat(np.arange(len(first)), per_word)
     rng = np.random.default_rng(seed)
@@ -170,18 +178,25 @@ def in_training(id_col: Column) -> Column:
 def training_rows(
     docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str, text_col: str
 ) -> DataFrame:
-    """``(text, toxic)`` of at most ``max_rows`` labelled rows, chosen by hash of the id.
+    """``(text, toxic, share)`` of at most ``max_rows`` labelled rows of each class.
 
-    Texts of more than ``MAX_BYTES`` are not learned from, so that the sample's size
-    is bounded too.
+    Rows are chosen by a hash of the id; ``share`` is the share of toxic rows among all
+    labelled ones. Texts of more than ``MAX_BYTES`` are not learned from, so that the
+    sample's size is bounded too.
     """
-    marked = labels.filter(in_training(F.col("doc_id"))).filter(F.col("toxic").isNotNull())
+    marked = labels.filter(in_training(F.col("doc_id"))).filter(F.col("toxic").isin(0, 1))
     marked = marked.groupBy(F.col("doc_id").alias("_label_id")).agg(F.max("toxic").alias("toxic"))
-    short = docs.filter(F.octet_length(text_col) <= MAX_BYTES)
-    chosen = marked.orderBy(F.xxhash64(F.lit(2), "_label_id"), "_label_id").limit(max_rows)
-    chosen = F.broadcast(materialize(chosen, "toxic-labels"))  # at most max_rows rows
-    return short.join(chosen, F.col(id_col) == F.col("_label_id")).select(
-        F.col(text_col).alias("text"), "toxic", "_label_id"
+    marked = materialize(marked, "toxic-labels")
+    by_hash = [F.xxhash64(F.lit(2), "_label_id"), F.col("_label_id")]
+    classes = [
+        marked.filter(F.col("toxic") == c).orderBy(*by_hash).limit(max_rows) for c in (0, 1)
+    ]
+    share = marked.agg(F.avg("toxic").alias("share")).scalar()
+    chosen = materialize(classes[0].union(classes[1]), "toxic-sample")
+    return (
+        docs.filter(F.octet_length(text_col) <= MAX_BYTES)
+        .join(F.broadcast(chosen), F.col(id_col) == F.col("_label_id"))  # 2 max_rows rows
+        .select(F.col(text_col).alias("text"), "toxic", "_label_id", share.alias("share"))
     )
 
 
@@ -192,10 +207,18 @@ def fit(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> Model:
-    """A model from the labelled rows that are not held out."""
+    """A model from the labelled rows that are not held out.
+
+    It is trained on classes of like size; the bias is set back to their true shares.
+    """
     rows = training_rows(docs, labels, max_rows, id_col, text_col).toArrow()
     rows = rows.combine_chunks().sort_by([("_label_id", "ascending"), ("text", "ascending")])
-    return train(rows.column("text"), rows.column("toxic").to_numpy())
+    toxic = rows.column("toxic").to_numpy()
+    model = train(rows.column("text"), toxic)
+    if 0 < toxic.sum() < len(toxic):
+        share, here = rows.column("share")[0].as_py(), toxic.mean()
+        model.bias += float(np.log(share / (1 - share)) - np.log(here / (1 - here)))
+    return model
 
 
 def toxicity(
