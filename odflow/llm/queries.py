@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from odflow.llm import (
+    html_extract,
     mixing,
     near_dedup,
     packing,
@@ -50,6 +51,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
     return rated.select("doc_id", *quality_rules.MEASURES, "base_failed", "kept")
@@ -71,6 +76,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_near_dedup": op3_near_dedup,
     "op4_packing": op4_packing,
+    "op7_html_extraction": op7_html_extraction,
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_source_mixing": op10_source_mixing,
