@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from odflow.llm import (
     html_extract,
     mixing,
     near_dedup,
+    neighbours,
     packing,
     quality_classifier,
     quality_rules,
@@ -51,6 +53,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(_table(spark, sf_dir, "pages"))
 
@@ -76,6 +82,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_near_dedup": op3_near_dedup,
     "op4_packing": op4_packing,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_html_extraction": op7_html_extraction,
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
