@@ -15,6 +15,7 @@ from odflow.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    substring_dedup,
     token_counts,
     toxicity,
 )
@@ -53,6 +54,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -82,6 +87,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_near_dedup": op3_near_dedup,
     "op4_packing": op4_packing,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_html_extraction": op7_html_extraction,
     "op8_quality_rules": op8_quality_rules,
