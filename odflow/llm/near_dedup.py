@@ -9,7 +9,7 @@ corrected for registers that agree by chance, drops candidates that are far off;
 rest is confirmed on the full sets of hashes.
 
 Equal sets form a class first, and only one document of a class goes on. Members of a
-band are compared with the smallest one of the band, its hub. What that leaves open is
+band are compared with one of them, its hub. What that leaves open is
 settled without comparing all pairs of the band:
 
 * The Jaccard distance is a metric. With links up to distance d, a text beyond 2 d of
@@ -110,6 +110,25 @@ def jaccard_estimate(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return share, n
 
 
+def register_bits(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One bit per register, in two 64-bit numbers."""
+    bits = mix64(rows.astype(np.uint64)) >> np.uint64(63)
+    packed = np.packbits(bits.astype(np.uint8), axis=1).view(np.int64)
+    return packed[:, 0], packed[:, 1]
+
+
+def may_reach(percent: int) -> Column:
+    """Bits of the rows x and y differ no more often than those of links do.
+
+    Registers that differ have different bits half of the time. The margin is six
+    standard deviations.
+    """
+    share = (1 - percent / 100) / 2
+    most = BUCKETS * share + SIGMAS * (BUCKETS * share * (1 - share)) ** 0.5
+    apart = [F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in ("bits_a", "bits_b")]
+    return apart[0] + apart[1] <= int(most)
+
+
 def _signatures(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for low, high, data, offsets in text_slices(batch.column(1)):
@@ -128,8 +147,9 @@ def _signatures(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Record
                     pa.array(keys[0]),
                     pa.array(keys[1]),
                     pa.array([r.tobytes() for r in rows], pa.binary()),
+                    *map(pa.array, register_bits(rows)),
                 ],
-                ["doc_id", "n_shingles", "set_a", "set_b", "registers"],
+                ["doc_id", "n_shingles", "set_a", "set_b", "registers", "bits_a", "bits_b"],
             )
 
 
@@ -336,10 +356,31 @@ def _of_different_parts(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return materialize(pairs.filter(apart).select("a", "b"), "open-pairs")
 
 
+def _with_hubs(banded: DataFrame) -> DataFrame:
+    """``(band, id, hub, n)`` of the bands of two or more.
+
+    The hub is the member whose bands are the most crowded altogether: of a group of
+    copies, one near its middle.
+    """
+    counts = banded.groupBy("band").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    shared = materialize(banded.join(materialize(counts, "band-counts"), "band"), "shared-bands")
+    crowd = materialize(shared.groupBy("id").agg(F.sum("n").alias("crowd")), "crowds")
+    hubs = (
+        shared.join(crowd, "id")
+        .groupBy("band")
+        .agg(F.max_by("id", F.struct("crowd", "id")).alias("hub"))
+    )
+    members = shared.join(materialize(hubs, "band-hubs"), "band")
+    return materialize(members.select("band", "id", "hub", "n"), "band-members")
+
+
 def _out_of_reach_of_hub(
-    members: DataFrame, seen: DataFrame, found: DataFrame, percent: int
+    members: DataFrame, marks: DataFrame, seen: DataFrame, found: DataFrame, percent: int
 ) -> DataFrame:
-    """Pairs of a band that are not linked to its hub, one of them far from it."""
+    """Pairs of a band that are not linked to its hub, one of them far from it.
+
+    Only pairs whose register bits are alike enough leave the join.
+    """
     state = F.when(reaches(percent), 2).when(reaches(2 * percent - 100), 1)
     state = materialize(
         seen.select(F.col("a").alias("hub"), F.col("b").alias("id"), state.alias("state")),
@@ -349,15 +390,19 @@ def _out_of_reach_of_hub(
     placed = others.join(state, ["hub", "id"], "left").select(
         "band", "id", F.coalesce("state", F.lit(0)).alias("state")
     )
-    free = materialize(placed.filter(F.col("state") < 2), "free-members")
-    far = materialize(
-        free.filter(F.col("state") == 0).select(F.col("band"), F.col("id").alias("x")),
-        "far-members",
-    )
+    placed = materialize(placed.filter(F.col("state") < 2), "free-members")
+    free = placed.join(marks.select("id", "bits_a", "bits_b"), "id")
+    free = materialize(free, "free-bits")
+    far = materialize(free.filter(F.col("state") == 0), "far-bits")
     pairs = (
-        free.join(far, "band")
-        .filter(F.col("id") != F.col("x"))
-        .select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b"))
+        free.alias("y")
+        .join(
+            far.alias("x"),
+            (F.col("x.band") == F.col("y.band"))
+            & (F.col("x.id") != F.col("y.id"))
+            & may_reach(percent),
+        )
+        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
         .distinct()
     )
     return _of_different_parts(materialize(pairs, "far-pairs"), found)
@@ -384,7 +429,8 @@ def near_duplicates(
     signed = materialize(
         docs.mapInArrow(
             partial(_signatures, n=shingle),
-            f"doc_id {kind}, n_shingles bigint, set_a bigint, set_b bigint, registers binary",
+            f"doc_id {kind}, n_shingles bigint, set_a bigint, set_b bigint, registers binary, "
+            "bits_a bigint, bits_b bigint",
         ),
         "signatures",
     )
@@ -393,22 +439,14 @@ def near_duplicates(
         known.groupBy("set_a", "set_b", "n_shingles").agg(
             F.min("doc_id").alias("id"),
             F.count("*").alias("rows"),
-            F.any_value("registers").alias("registers"),
+            *(F.any_value(c).alias(c) for c in ("registers", "bits_a", "bits_b")),
         ),
         "classes",
     )
-    marks = classes.select("id", "registers")
-    banded = marks.mapInArrow(_bands, f"band bigint, id {kind}")
+    marks = classes.select("id", "registers", "bits_a", "bits_b")
+    banded = marks.select("id", "registers").mapInArrow(_bands, f"band bigint, id {kind}")
     banded = materialize(banded, "bands")
-    hubs = materialize(
-        banded.groupBy("band")
-        .agg(F.min("id").alias("hub"), F.count("*").alias("n"))
-        .filter(F.col("n") > 1),
-        "band-hubs",
-    )
-    members = materialize(
-        banded.join(hubs, "band").select("band", "id", "hub", "n"), "band-members"
-    )
+    members = _with_hubs(banded)
     tested = materialize(
         members.filter(F.col("id") != F.col("hub"))
         .select(F.col("hub").alias("a"), F.col("id").alias("b"))
@@ -422,7 +460,7 @@ def near_duplicates(
     links = seen.filter(reaches(percent)).select("a", "b")
     found = materialize(components(links), "components")
     rest = _within_reach_of_hub(compare, seen, sets, found).union(
-        _out_of_reach_of_hub(members, seen, found, percent)
+        _out_of_reach_of_hub(members, marks, seen, found, percent)
     )
     if not rest.isEmpty():
         links = links.union(compare.links(materialize(rest.distinct(), "rest")))
