@@ -528,7 +528,8 @@ class Tokenizer:
     def counts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Tokens of every text."""
         joined, starts, ends, stops, texts, ids = self._pieces(data, offsets)
-        tokens = self.counter.n_tokens[self.counter.encode(joined, starts, ends)]
+        entry = self.counter.encode(joined, starts, ends)
+        tokens = self.counter.n_tokens[entry]
         part = np.searchsorted(stops, starts)
         total = np.bincount(texts[part], tokens, len(offsets) - 1)
         total += np.bincount(texts, ids >= 0, len(offsets) - 1)

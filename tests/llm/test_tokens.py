@@ -51,6 +51,8 @@ def test_full_piece_table_only_costs_time(monkeypatch):
 
     monkeypatch.setattr(transducer, "MAX_PIECES", 64)
     machine = transducer.Tokenizer(vocabulary())
+    for _, _, data, offsets in text_slices(pa.array(["ab cd ef " * 20, "gh ij kl mn"]), 10):
+        machine.counts(data, offsets)
     texts = [f"word{i} other{i}" for i in range(200)]
     got = []
     for _, _, data, offsets in text_slices(pa.array(texts), 60):
