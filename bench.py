@@ -15,7 +15,7 @@ import json
 import os
 import statistics
 import sys
-import time
+import timeit
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,12 +57,7 @@ def run(result: DataFrame) -> None:
 
 def median_seconds(action) -> float:
     action()
-    seconds = []
-    for _ in range(RUNS):
-        start = time.perf_counter()
-        action()
-        seconds.append(time.perf_counter() - start)
-    return round(statistics.median(seconds), 4)
+    return round(statistics.median(timeit.repeat(action, number=1, repeat=RUNS)), 4)
 
 
 def published_variants(spark: SparkSession) -> dict[str, float]:
@@ -84,7 +79,7 @@ def published_variants(spark: SparkSession) -> dict[str, float]:
         seconds[name] = median_seconds(lambda: [df.collect() for df in build()])
 
     def zones() -> list[DataFrame]:
-        return [indicators.mean_by_zone_joined(layer, stations)]
+        return [indicators.mean_by_zone(layer, stations)]
 
     def two_indicators(source: DataFrame) -> list[DataFrame]:
         return [indicators.departures(source), indicators.pair_counts(source)]

@@ -7,7 +7,9 @@ row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -44,17 +46,6 @@ def flows_by_station(trips: DataFrame, stations: DataFrame) -> DataFrame:
     return _with_station(counts, stations)
 
 
-def flows_by_side(trips: DataFrame, stations: DataFrame) -> DataFrame:
-    """:func:`flows_by_station` from two separate counts; a cross-check."""
-    out = trips.groupBy(F.col("origin").alias("station_id")).agg(
-        F.count("*").alias("n_departures")
-    )
-    back = trips.groupBy(F.col("destination").alias("station_id")).agg(
-        F.count("*").alias("n_arrivals")
-    )
-    return _with_station(out.join(back, "station_id"), stations)
-
-
 def _with_station(counts: DataFrame, stations: DataFrame) -> DataFrame:
     names = stations.select("station_id", "name", "zone")
     return names.join(counts, "station_id").orderBy("station_id")
@@ -103,48 +94,83 @@ def flow_extremes(flows: DataFrame) -> DataFrame:
     )
 
 
+# Durations up to this are summed as decimals, so that neither the order of the rows
+# nor their partitioning changes a total. Larger ones are summed as doubles.
+EXACT_BELOW = 1e15
+
+
+def partial_sums(trips: DataFrame, key: str = "origin") -> DataFrame:
+    """``(key, exact, rest, n_trips)``: totals that can be merged without rounding."""
+    return trips.groupBy(key).agg(*_duration_sums(F.col("duration")))
+
+
+def _duration_sums(duration: Column) -> list[Column]:
+    small = F.when(F.abs(duration) < EXACT_BELOW, duration)
+    large = F.when(F.abs(duration) >= EXACT_BELOW, duration)
+    return [
+        F.sum(small.cast("decimal(25,9)")).alias("exact"),
+        F.sum(large).alias("rest"),
+        F.count("*").alias("n_trips"),
+    ]
+
+
+def _merged_sums() -> list[Column]:
+    return [F.sum(c).alias(c) for c in ("exact", "rest", "n_trips")]
+
+
+def _total() -> Column:
+    zero = F.lit(0.0)
+    return (
+        F.coalesce(F.col("exact").cast("double"), zero) + F.coalesce("rest", zero)
+    ).alias("total_duration")
+
+
 def sum_and_count(trips: DataFrame, key: str = "origin") -> DataFrame:
     """Total duration and trips per key, combined before the shuffle."""
-    return trips.groupBy(key).agg(
-        F.sum("duration").alias("total_duration"), F.count("*").alias("n_trips")
-    )
+    return partial_sums(trips, key).select(key, _total(), "n_trips")
 
 
-def sum_and_count_grouped(
-    trips: DataFrame, key: str = "origin", salts: int = 64
-) -> DataFrame:
-    """The same by full grouping: every value crosses the shuffle uncombined.
+def partial_sums_grouped(trips: DataFrame, key: str = "origin") -> DataFrame:
+    """:func:`partial_sums` by full grouping: every value crosses the shuffle.
 
-    Kept to show what combining saves. The rows of a key are spread over
-    ``salts`` groups that are folded one by one, so no task holds a whole key.
+    The rows of a key are spread over as many groups as the session has shuffle
+    partitions, and the groups are folded one by one, so no task holds a whole key.
     """
+    salts = int(trips.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.pmod(F.xxhash64("trip_id"), F.lit(salts))
     grouped = trips.select(key, "duration", salt.alias("_salt")).repartition(
         key, "_salt"
     )
     return (
         grouped.groupBy(key, "_salt")
-        .agg(F.sum("duration").alias("d"), F.count("*").alias("n"))
+        .agg(*_duration_sums(F.col("duration")))
         .groupBy(key)
-        .agg(F.sum("d").alias("total_duration"), F.sum("n").alias("n_trips"))
+        .agg(*_merged_sums())
     )
 
 
-def mean_by_zone(trips: DataFrame, stations: DataFrame) -> DataFrame:
+def sum_and_count_grouped(trips: DataFrame, key: str = "origin") -> DataFrame:
+    """:func:`sum_and_count` without combining; kept to show what combining saves."""
+    return partial_sums_grouped(trips, key).select(key, _total(), "n_trips")
+
+
+def mean_by_zone(
+    trips: DataFrame,
+    stations: DataFrame,
+    sums: Callable[[DataFrame, str], DataFrame] = partial_sums,
+) -> DataFrame:
     """Total, count and mean duration by zone of origin.
 
     Sums and counts are merged and divided once at the end; a mean of means
     would weight the stations wrongly.
     """
+    zones = stations.select(F.col("station_id").alias("origin"), "zone")
     return (
-        sum_and_count(trips)
-        .withColumnRenamed("origin", "station_id")
-        .join(stations.select("station_id", "zone"), "station_id")
+        sums(trips, "origin")
+        .join(zones, "origin")
         .groupBy("zone")
-        .agg(
-            F.sum("total_duration").alias("total_duration"),
-            F.sum("n_trips").alias("n_trips"),
-        )
+        .agg(*_merged_sums())
+        .select("zone", _total(), "n_trips")
         .withColumn(
             "mean_duration", F.round(F.col("total_duration") / F.col("n_trips"), 2)
         )
@@ -152,24 +178,6 @@ def mean_by_zone(trips: DataFrame, stations: DataFrame) -> DataFrame:
     )
 
 
-def mean_by_zone_joined(trips: DataFrame, stations: DataFrame) -> DataFrame:
-    """:func:`mean_by_zone` with the zone joined to every trip; a cross-check.
-
-    Unordered.
-    """
-    zones = stations.select(F.col("station_id").alias("origin"), "zone")
-    return (
-        trips.select("origin", "duration")
-        .join(zones, "origin")
-        .groupBy("zone")
-        .agg(
-            F.sum("duration").alias("total_duration"),
-            F.count("*").alias("n_trips"),
-            F.round(F.avg("duration"), 2).alias("mean_duration"),
-        )
-    )
-
-
 def departures(trips: DataFrame, prefix: str = "") -> DataFrame:
     """Trips per origin, for origins that begin with ``prefix``."""
     return (
@@ -185,31 +193,29 @@ def pair_counts(trips: DataFrame) -> DataFrame:
 
 
 def top_pairs(trips: DataFrame, stations: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` most frequent pairs with names and rank; ties by station ids."""
+    """The ``n`` most frequent pairs with names and rank; ties by station ids.
+
+    The names of both ends of the n ranked rows come from one pass over the stations.
+    """
     order = [F.desc("n_trips"), F.col("origin"), F.col("destination")]
     top = pair_counts(trips).orderBy(*order).limit(n)
-    origin_names = stations.select(
-        F.col("station_id").alias("origin"), F.col("name").alias("origin_name")
-    )
-    destination_names = stations.select(
-        F.col("station_id").alias("destination"),
-        F.col("name").alias("destination_name"),
-    )
     # The window sees the n rows that are left, not the pairs.
-    rank = F.row_number().over(Window.orderBy(*order))
-    return (
-        top.join(origin_names, "origin")
-        .join(destination_names, "destination")
-        .select(
-            rank.alias("rank"),
-            "origin",
-            "origin_name",
-            "destination",
-            "destination_name",
-            "n_trips",
-        )
-        .orderBy("rank")
-    )
+    ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    end = [
+        F.struct(F.lit(side).alias("side"), F.col(side).alias("station_id"))
+        for side in ("origin", "destination")
+    ]
+    named = ranked.select("*", F.inline(F.array(*end))).join(
+        stations.select("station_id", "name"), "station_id"
+    )
+    row = ["rank", "origin", "destination", "n_trips"]
+    names = named.groupBy(*row).pivot("side", ["origin", "destination"]).agg(F.first("name"))
+    both = names.toDF(*row, "origin_name", "destination_name").dropna(
+        subset=["origin_name", "destination_name"]
+    )
+    return both.select(
+        "rank", "origin", "origin_name", "destination", "destination_name", "n_trips"
+    ).orderBy("rank")
 
 
 def trips_per_month(layer: DataFrame) -> DataFrame:

@@ -124,8 +124,3 @@ def repeated_ids(lines: DataFrame) -> DataFrame:
 def tail(lines: DataFrame, n: int = 5) -> DataFrame:
     """The last ``n`` lines."""
     return lines.orderBy(F.desc("line_no")).limit(n).orderBy("line_no")
-
-
-def lines_from(lines: DataFrame, first: int) -> DataFrame:
-    """The lines from number ``first`` on, in order."""
-    return lines.filter(F.col("line_no") >= first).orderBy("line_no")

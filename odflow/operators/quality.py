@@ -179,7 +179,6 @@ def clean_typed(
     The columnar form of the rules: nothing is tagged, rows just drop out.
     ``order`` decides which row of a repeated id is the first.
     """
-    ids = stations.select("station_id")
     # One not-null test per column, unlike dropna, reaches the scan.
     complete = reduce(and_, (F.col(n).isNotNull() for n in TRIP_FIELDS))
     sound = trips.filter(
@@ -192,10 +191,8 @@ def clean_typed(
         & between(F.col("ts"), spec.start, spec.end)
         & F.col("kind").isin(*spec.kinds)
     )
-    located = sound.join(
-        ids.withColumnRenamed("station_id", "origin"), "origin", "left_semi"
-    ).join(
-        ids.withColumnRenamed("station_id", "destination"), "destination", "left_semi"
+    located = mark_known(sound, stations, ["origin", "destination"]).filter(
+        F.col("origin_known") & F.col("destination_known")
     )
     columns = dict.fromkeys([*TRIP_FIELDS, *order])
     return first_occurrence(located.select(*columns), "trip_id", order).select(*TRIP_FIELDS, month_of(F.col("ts")).alias("month"))

@@ -13,6 +13,10 @@ from odflow.sources.scratch import materialize
 from odflow.spec import TRIP_FIELDS, TripSpec
 
 
+# Lines shown of each anomaly.
+SAMPLES = {"unknown_station": 5, "bad_duration": 10, "bad_distance": 10, "bad_date": 10}
+
+
 @dataclass(frozen=True)
 class Inputs:
     """One data set: lines as scanned, numbered and checked, and the stations."""
@@ -34,7 +38,7 @@ def load(
 
     The checked lines feed all later steps, so they are written once: the text
     is parsed a single time, and later steps read only the columns they need.
-    Without ``header`` the first line of the first file is taken as the header.
+    Without ``header`` the first line of the data is taken as the header.
     """
     stations = tables.read_stations(spark, stations_path)
     if header is None:
@@ -63,6 +67,7 @@ def profile_results(inputs: Inputs) -> dict[str, DataFrame]:
         "profile_blanks": profile.blank_counts(inputs.lines),
         "profile_kinds": profile.value_counts(complete, "kind"),
         "profile_anomalies": profile.anomaly_counts(marked),
+        "profile_anomaly_samples": profile.anomaly_samples(marked, SAMPLES),
         "profile_date_range": profile.date_range(complete),
         "profile_duplicates": profile.repeated_ids(inputs.lines),
         "profile_tail": profile.tail(inputs.lines),
@@ -139,6 +144,8 @@ def run(
         **profile_results(inputs),
         **from_lines,
         **graph_results(layer, inputs.stations),
+        "flow_totals": indicators.flow_totals(from_lines["flows_by_station"]),
+        "months": tables.months(layer),
         "trips_per_month": indicators.trips_per_month(layer),
         "speed_range": indicators.speed_range(layer),
         "comparison": compare.compare_all(

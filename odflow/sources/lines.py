@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from odflow.sources.scratch import materialize
 
-_SPLIT = ["task", "file_path", "block_start"]
-
-# Offsets are broadcast up to this many input splits (about 200 bytes each).
-BROADCAST_SPLITS = 500_000
+# A split as the join of the offsets sees it: the hash stands for the path's text, and
+# only has to tell apart the files that one task reads.
+_SPLIT = ["task", "file", "block_start"]
 
 
 def read_lines(
@@ -31,10 +28,14 @@ def read_lines(
 
 
 def first_line(spark: SparkSession, path: str) -> str | None:
-    """The first line of the first file by path; reads one file's first split."""
-    files = spark.read.text(path).inputFiles()
-    row = spark.read.text(unquote(min(files))).first() if files else None
-    return row["value"] if row else None
+    """The first line of the data, files by path; None if there is no line.
+
+    Empty files do not count. All files are scanned for it: give the header where it
+    is known.
+    """
+    lines = spark.read.text(path).select("value", *split_position())
+    place = F.struct("file_path", "block_start", "scan_row")
+    return lines.agg(F.min_by("value", place).alias("value")).first()["value"]
 
 
 def drop_header(lines: DataFrame, header: str) -> DataFrame:
@@ -76,11 +77,12 @@ def number_lines(lines: DataFrame) -> DataFrame:
     located = lines.select(
         "raw",
         "file_path",
+        F.xxhash64("file_path").alias("file"),
         "block_start",
         F.spark_partition_id().alias("task"),
         F.monotonically_increasing_id().alias("scan_row"),
     )
-    splits = located.groupBy(*_SPLIT).agg(
+    splits = located.groupBy(*_SPLIT, "file_path").agg(
         F.min("scan_row").alias("first_row"), F.count("*").alias("n_lines")
     )
     # One small row per input split goes through this window, never a line.
@@ -96,8 +98,6 @@ def number_lines(lines: DataFrame) -> DataFrame:
         ),
         "split-offsets",
     )
-    if offsets.count() <= BROADCAST_SPLITS:
-        offsets = F.broadcast(offsets)
     shift = F.coalesce(
         "shift",
         F.raise_error(F.lit("input splits changed between two scans")).cast("bigint"),

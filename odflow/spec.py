@@ -80,7 +80,10 @@ STATION_SCHEMA = StructType(
 
 @dataclass(frozen=True)
 class TripSpec:
-    """What counts as a valid trip: the period (end excluded) and the kinds."""
+    """What counts as a valid trip: the period (end excluded) and the kinds.
+
+    The defaults are fixed values of the published data set.
+    """
 
     start: datetime = datetime(2026, 1, 1)
     end: datetime = datetime(2026, 4, 1)

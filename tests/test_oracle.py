@@ -7,7 +7,9 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from odflow.plans.oracle import ORACLE
+from odflow.plans.registry import QUERIES
 
 SF_DIR = Path("/root/testdata/sf0.001")
 
@@ -36,13 +38,13 @@ def bag(columns, rows):
 
 
 def test_each_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    result = queries()[name](spark, str(SF_DIR))
-    expected = duck.execute(oracle_sql()[name])
+    result = QUERIES[name](spark, str(SF_DIR))
+    expected = duck.execute(ORACLE[name])
     columns = [d[0] for d in expected.description]
     assert sorted(result.columns) == sorted(columns)
     rows = expected.fetchall()

@@ -20,7 +20,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(queries()[name](spark, SF_DIR))
     for bad in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -28,12 +28,16 @@ def test_no_python_and_no_cross_join(spark, name):
 
 
 def test_valid_trips_prune_before_the_shuffle(spark):
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     text = plan(registry.valid_trips(spark, SF_DIR))
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     partial = re.search(r"WindowGroupLimit .*row_number\(\), 1, Partial", text)
     shuffle = text.index("Exchange hashpartitioning(trip_id")
     assert partial and partial.start() > shuffle
-    assert text.count("Exchange hashpartitioning") == 1
-    assert "GreaterThanOrEqual(l_shipdate" in text or "l_shipdate" in text
+    assert text.count("Exchange hashpartitioning(trip_id") == 1
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(l_shipdate", text)
     assert "ReadSchema: struct<n_nationkey:int>" in text
 
 
@@ -51,7 +55,7 @@ def test_scan_reads_only_the_columns_of_the_query(spark):
 def test_aggregates_combine_before_the_shuffle(spark):
     trips = registry.valid_trips(spark, SF_DIR)
     text = plan(indicators.sum_and_count(trips))
-    assert "partial_sum(duration" in text
+    assert "partial_sum(" in text
     grouped = plan(indicators.sum_and_count_grouped(trips))
     assert "collect_list" not in grouped
 

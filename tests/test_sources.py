@@ -45,9 +45,8 @@ def test_line_numbers_over_files_and_splits(spark, tmp_path, small_splits, end):
     assert line_source.line_count(lines).first()["n_lines"] == n
 
 
-def test_numbers_do_not_depend_on_the_broadcast(spark, tmp_path, small_splits, monkeypatch):
+def test_numbers_do_not_depend_on_the_broadcast(spark, tmp_path, small_splits):
     (tmp_path / "a.csv").write_text("".join(f"line {i}\n" for i in range(1, 2001)))
-    monkeypatch.setattr(line_source, "BROADCAST_SPLITS", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         numbered = line_source.number_lines(line_source.read_lines(spark, str(tmp_path)))
@@ -79,6 +78,20 @@ def test_header(spark, tmp_path):
     assert sorted(r["raw"] for r in kept) == ["1", "2", "x", "y"]
 
 
+def test_header_skips_empty_files_and_odd_names(spark, tmp_path):
+    for name, text in {"a.csv": "", "b[1] x.csv": "head\n1\n", "c.csv": "2\n"}.items():
+        (tmp_path / name).write_text(text)
+    assert line_source.first_line(spark, str(tmp_path)) == "head"
+    lines = line_source.read_lines(spark, str(tmp_path), "head")
+    numbered = line_source.number_lines(lines).orderBy("line_no").collect()
+    assert [tuple(r) for r in numbered] == [(1, "1"), (2, "2")]
+
+
+def test_no_header_without_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("")
+    assert line_source.first_line(spark, str(tmp_path)) is None
+
+
 def test_stations_fail_fast(spark, tmp_path):
     good, bad = tmp_path / "good.csv", tmp_path / "bad.csv"
     head = "station_id,nom,zone,latitude,longitude\r\n"
