@@ -19,6 +19,9 @@ from odflow.llm import (
     token_counts,
     toxicity,
 )
+from odflow.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES", "vocabulary"]
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -94,5 +97,3 @@ QUERIES = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_source_mixing": op10_source_mixing,
 }
-
-ORACLE: dict[str, str] = {}

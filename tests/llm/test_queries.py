@@ -3,6 +3,7 @@
 import re
 from pathlib import Path
 
+import duckdb
 import pytest
 
 import corpus_pipeline
@@ -26,6 +27,17 @@ def test_query_returns_rows(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
 
 
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_sql(spark, name):
+    db = duckdb.connect()
+    for file in Path(SF).glob("*.parquet"):
+        db.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
+    expected = db.execute(ORACLE[name])
+    columns = [d[0] for d in expected.description]
+    rows = QUERIES[name](spark, SF).select(*columns).collect()
+    assert sorted(map(tuple, rows)) == sorted(expected.fetchall())
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, n = docs.columns, docs.count()
