@@ -11,20 +11,26 @@ def vertices(stations: DataFrame) -> DataFrame:
     return stations.select("station_id", "name")
 
 
-def arcs(trips: DataFrame) -> DataFrame:
-    """``(src, dst, weight)``: one arc per (origin, destination) with trips."""
+def arcs(trips: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """``(src, dst, weight)``: one arc per (origin, destination) with trips.
+
+    With ``by``, such as the month, there is one graph per value of those columns.
+    """
     return trips.groupBy(
-        F.col("origin").alias("src"), F.col("destination").alias("dst")
+        *by, F.col("origin").alias("src"), F.col("destination").alias("dst")
     ).agg(F.count("*").alias("weight"))
 
 
-def degrees(vertices: DataFrame, arcs: DataFrame) -> DataFrame:
+def degrees(
+    vertices: DataFrame, arcs: DataFrame, by: tuple[str, ...] = ()
+) -> DataFrame:
     """In and out degree of every vertex, plain (neighbours) and weighted (trips).
 
     Both ends of an arc go through one aggregate. A vertex without incoming or
     without outgoing arcs is left out.
     """
     ends = arcs.select(
+        *by,
         F.inline(
             F.array(
                 F.struct(
@@ -42,10 +48,10 @@ def degrees(vertices: DataFrame, arcs: DataFrame) -> DataFrame:
                     F.lit(0).cast("bigint").alias("wo"),
                 ),
             )
-        )
+        ),
     )
     per_vertex = (
-        ends.groupBy("station_id")
+        ends.groupBy(*by, "station_id")
         .agg(
             F.sum("i").alias("in_degree"),
             F.sum("o").alias("out_degree"),
@@ -55,7 +61,7 @@ def degrees(vertices: DataFrame, arcs: DataFrame) -> DataFrame:
         .filter((F.col("in_degree") > 0) & (F.col("out_degree") > 0))
         .withColumn("total_weight", F.col("in_weight") + F.col("out_weight"))
     )
-    return vertices.join(per_vertex, "station_id").orderBy("station_id")
+    return vertices.join(per_vertex, "station_id").orderBy(*by, "station_id")
 
 
 def summary(vertices: DataFrame, arcs: DataFrame) -> DataFrame:
@@ -106,6 +112,23 @@ def top_vertices(degrees: DataFrame, n: int = 5) -> DataFrame:
     ).orderBy("rank")
 
 
+def top_vertices_by(degrees: DataFrame, by: tuple[str, ...], n: int = 5) -> DataFrame:
+    """:func:`top_vertices` of each graph; a limit per graph comes before the shuffle."""
+    order = [
+        F.desc("total_weight"),
+        (F.col("in_degree") + F.col("out_degree")).desc(),
+        F.col("station_id"),
+    ]
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return (
+        degrees.withColumn("rank", rank)
+        .filter(F.col("rank") <= n)
+        .select(
+            *by, "rank", "station_id", "name", "total_weight", "in_weight", "out_weight"
+        )
+    )
+
+
 def heaviest_arcs(arcs: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` arcs with most trips; ties by ids."""
     return arcs.orderBy(F.desc("weight"), "src", "dst").limit(n)

@@ -201,6 +201,23 @@ FROM {0}
 WINDOW w AS (ORDER BY total_weight DESC, in_degree + out_degree DESC, station_id)
 ORDER BY rank LIMIT 5"""
 
+# Follows the common tables of the trips.
+_BY_MONTH = """, month_ends AS (
+  SELECT month, origin AS station_id, destination AS other, TRUE AS leaves, count(*) AS n
+  FROM valid GROUP BY ALL
+  UNION ALL
+  SELECT month, destination, origin, FALSE, count(*) FROM valid GROUP BY ALL
+), by_month AS (
+  SELECT month, station_id, any_value(name) AS name,
+         count(*) FILTER (NOT leaves) AS in_degree, count(*) FILTER (leaves) AS out_degree,
+         CAST(sum(n) FILTER (NOT leaves) AS BIGINT) AS in_weight,
+         CAST(sum(n) FILTER (leaves) AS BIGINT) AS out_weight,
+         CAST(sum(n) AS BIGINT) AS total_weight
+  FROM month_ends JOIN stations USING (station_id)
+  GROUP BY month, station_id
+  HAVING count(*) FILTER (leaves) > 0 AND count(*) FILTER (NOT leaves) > 0
+)"""
+
 _PAIRS = """SELECT CAST(row_number() OVER w AS INTEGER) AS rank, src AS origin,
        dst AS destination, weight AS n_trips
 FROM arcs WINDOW w AS (ORDER BY weight DESC, src, dst) ORDER BY rank LIMIT 10"""
@@ -416,6 +433,17 @@ ORDER BY line_no DESC LIMIT 5) ORDER BY line_no"""
     ),
     "graph_top5": _on_graph(_TOP5.format("degrees")),
     "graph_top5_sparse": _on_graph(_TOP5.format("month_degrees")),
+    "graph_degrees_by_month": _on_trips(_BY_MONTH + "\nSELECT * FROM by_month"),
+    "graph_top5_by_month": _on_trips(
+        _BY_MONTH
+        + """
+SELECT month, CAST(row_number() OVER w AS INTEGER) AS rank, station_id, name,
+       total_weight, in_weight, out_weight
+FROM by_month
+WINDOW w AS (PARTITION BY month
+             ORDER BY total_weight DESC, in_degree + out_degree DESC, station_id)
+QUALIFY rank <= 5"""
+    ),
     # Comparison of variants.
     "compare_results": _on_trips(
         "\nUNION ALL\n".join(

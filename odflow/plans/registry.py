@@ -322,6 +322,23 @@ def graph_top5_sparse(spark, sf_dir):
     return graph.top_vertices(_degrees(spark, sf_dir, month_trips), 5)
 
 
+def _degrees_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vertices = graph.vertices(given.stations(spark, sf_dir))
+    arcs = graph.arcs(valid_trips(spark, sf_dir), ("month",))
+    return graph.degrees(vertices, arcs, ("month",))
+
+
+@query
+def graph_degrees_by_month(spark, sf_dir):
+    """The graphs of all months, none of them complete."""
+    return _degrees_by_month(spark, sf_dir)
+
+
+@query
+def graph_top5_by_month(spark, sf_dir):
+    return graph.top_vertices_by(_degrees_by_month(spark, sf_dir), ("month",), 5)
+
+
 # Comparison of variants.
 
 
