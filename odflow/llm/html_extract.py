@@ -105,9 +105,11 @@ FRAME_WORDS = re.compile(
 )
 
 _PIECE = re.compile(
-    r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>|([^<]+|<)",
+    r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>|<[!?][^>]*>|([^<]+|<)",
     re.S,
 )
+# A tag with a quote that is never closed.
+_LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
 
@@ -148,6 +150,8 @@ def blocks(html: str) -> list[Block]:
             break
         at = found.end()
         closing, name, rest, text = found.groups()
+        if text == "<" and (loose := _LOOSE.match(html, at - 1)):
+            (closing, name, rest), text, at = loose.groups(), None, loose.end()
         if text is not None:
             if not silent:
                 text = unescape(text)

@@ -89,6 +89,13 @@ def test_main_text_of_a_page(spark):
     assert html_extract.extract(table.limit(0)).collect() == []
 
 
+def test_tag_with_an_open_quote_is_no_text():
+    words = "some words that make up a paragraph " * 3
+    page = f"<article><p title=it's>{words}</p><p id=b's alt='>'>a < b and more of it here</p></article>"
+    text = html_extract.main_text(page, html_extract.default_tree())
+    assert text == f"{words.strip()} a < b and more of it here"
+
+
 def test_tree_learns_its_table():
     table = np.array(html_extract.TABLE, float)
     tree = html_extract.default_tree()
