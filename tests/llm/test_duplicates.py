@@ -179,3 +179,40 @@ def test_cut_words_keeps_the_rest():
     text = " a  b\tc\n\nd é  f "
     assert substring_dedup.cut_words(text, [(1, 3)]) == " a  d é  f "
     assert substring_dedup.cut_words(text, [(0, 6)]) == " "
+
+
+def passage_pair(rng, size, edit):
+    """Two texts with a passage of ``size`` words that one of them has edited."""
+    fresh = lambda n: [f"y{rng.randrange(10**8)}" for _ in range(n)]
+    words = fresh(size)
+    at = rng.randrange(size // 3, 2 * size // 3)
+    other = words[:at] + (fresh(1) if edit == "in" else []) + words[at + (edit == "out") :]
+    return fresh(20) + words + fresh(20), fresh(25) + other + fresh(9)
+
+
+def brute_similar(a, b, span=46, percent=80):
+    """Whether ranges of a and b have an aligned similarity of 80 %, by their best alignment."""
+    tokens = [[tuple(w[i : i + 5]) for i in range(len(w) - 4)] for w in (a, b)]
+    where = {t: j for j, t in enumerate(tokens[1])}
+    equal = [(i, where[t]) for i, t in enumerate(tokens[0]) if t in where]
+    for x, (i, j) in enumerate(equal):
+        for y, (k, m) in enumerate(equal[x:], 1):
+            la, lb = k - i + 1, m - j + 1
+            if min(la, lb) >= span and 100 * y >= percent * (la + lb - y):
+                return True
+    return False
+
+
+def test_inserted_and_left_out_words(spark):
+    rng = random.Random(31)
+    texts, expected = {}, set()
+    for n in range(240):
+        a, b = passage_pair(rng, 50 + n % 31, ("in", "out")[n % 2])
+        texts[2 * n], texts[2 * n + 1] = " ".join(a), " ".join(b)
+        if brute_similar(a, b):
+            expected |= {2 * n, 2 * n + 1}
+    table = spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING")
+    rows = substring_dedup.repeated_passages(table).collect()
+    got = {r["doc_id"] for r in rows}
+    assert got <= expected
+    assert len(expected) > 300 and len(got) >= 0.99 * len(expected)
