@@ -216,3 +216,18 @@ def test_inserted_and_left_out_words(spark):
     got = {r["doc_id"] for r in rows}
     assert got <= expected
     assert len(expected) > 300 and len(got) >= 0.99 * len(expected)
+
+
+def test_lines_of_a_passage_stand_earlier_in_the_smallest_document(spark):
+    rng = random.Random(32)
+    fresh = lambda n: [f"z{rng.randrange(10**8)}" for _ in range(n)]
+    texts = {}
+    for n in range(8):
+        passage = fresh(50)
+        lines = [w for i in range(0, 50, 5) for w in passage[max(0, i - 8) : i + 9] + fresh(2)]
+        texts[2 * n] = " ".join(lines + passage + fresh(9))
+        texts[2 * n + 1] = " ".join(fresh(7) + passage + fresh(30))
+    table = spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING")
+    got = covered(substring_dedup.repeated_passages(table).collect(), texts)
+    expected = brute_covered(texts, 50)
+    assert all(expected[d] and expected[d] <= got[d] for d in texts)
