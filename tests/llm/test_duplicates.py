@@ -231,3 +231,19 @@ def test_lines_of_a_passage_stand_earlier_in_the_smallest_document(spark):
     got = covered(substring_dedup.repeated_passages(table).collect(), texts)
     expected = brute_covered(texts, 50)
     assert all(expected[d] and expected[d] <= got[d] for d in texts)
+
+
+def test_passage_with_a_line_that_the_other_text_repeats(spark):
+    rng = random.Random(33)
+    fresh = lambda n: [f"v{rng.randrange(10**8)}" for _ in range(n)]
+    texts = {}
+    for n in range(8):
+        passage = fresh(80)
+        line = passage[10:22]
+        other = [*passage[:40], *fresh(1), *passage[41:]]
+        texts[2 * n] = " ".join(fresh(5) + passage + fresh(5))
+        texts[2 * n + 1] = " ".join(other + sum((line + fresh(3) for _ in range(6)), []))
+    table = spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING")
+    got = covered(substring_dedup.repeated_passages(table).collect(), texts)
+    assert all(got[2 * n] >= set(range(5, 85)) for n in range(8))
+    assert all(got[2 * n + 1] >= set(range(80)) for n in range(8))
