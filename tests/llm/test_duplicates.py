@@ -3,9 +3,11 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from odflow.llm import components, near_dedup, substring_dedup
+from odflow.llm.text import mix64
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ASCII_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -276,3 +278,14 @@ def test_edited_passages_off_the_hub(spark):
     found = len(got & {3 * n + 2 for n in range(groups)}) / groups
     print(f"found off the hub: {found}")
     assert found >= 0.9
+
+
+def test_nodes_beyond_24_bits_of_places():
+    rng = np.random.default_rng(35)
+    head, tail = 1 << 24, 500
+    tokens = rng.integers(0, 2**63, head + tail, np.uint64)
+    whole = substring_dedup.compact_nodes(tokens, np.array([0, len(tokens)]), 46, 1)
+    alone = substring_dedup.compact_nodes(tokens[head:], np.array([0, tail]), 46, 1)
+    assert len(alone) and set(alone + head) <= set(whole.tolist())
+    value = mix64(tokens[head:] ^ mix64(np.array([1], np.uint64)))
+    assert set(alone.tolist()) == {i + int(value[i : i + 46].argmin()) for i in range(tail - 45)}
