@@ -17,8 +17,9 @@ token of its encoding, and two tokens may stand side by side exactly if no merge
 joins the edges of the two while both are there. So the last token of a prefix is the
 suffix token that may follow the last token of the prefix before it.
 
-Results are kept per distinct piece in a table of bounded size; when it is full it is
-emptied, which costs time only.
+Results are kept per distinct piece in a table; when it is full it is emptied, which
+costs time only. Only a slice that has more distinct pieces than the table, such as one
+very long text of numbers, makes it larger, until a later slice brings new pieces.
 """
 
 from __future__ import annotations
@@ -110,13 +111,14 @@ class Counter:
         self.pairs = HashTable(MAX_PAIRS.bit_length())
         self.reset()
 
-    def reset(self) -> None:
+    def reset(self, room: int = 0) -> None:
         """Forget the encodings of pieces."""
-        self.pieces = HashTable(MAX_PIECES.bit_length())
+        room = max(room, MAX_PIECES)
+        self.pieces = HashTable(room.bit_length())
         self.pool = np.zeros(1 << 20, np.uint32)
         self.pool_size = 0
-        self.at = np.zeros(MAX_PIECES + 1, np.int64)
-        self.n_tokens = np.zeros(MAX_PIECES, np.int32)
+        self.at = np.zeros(room + 1, np.int64)
+        self.n_tokens = np.zeros(room, np.int32)
 
     def encode_plain(self, piece: bytes) -> list[bytes]:
         """Merge the best pair until none is left; for short strings."""
@@ -207,6 +209,10 @@ class Counter:
             if self.pairs.size + len(new) > MAX_PAIRS:
                 self.pairs.clear()
                 new = np.unique(keys)
+                if len(new) > MAX_PAIRS:
+                    half = len(keys) // 2
+                    halves = (slice(half), slice(half, None))
+                    return np.concatenate([self._mask_follow(a[x], b[x]) for x in halves])
             firm = [
                 k >> 32 == 1 or self._may_follow((k >> 32) - 2, k & 0xFFFFFFFF)
                 for k in new.tolist()
@@ -297,19 +303,24 @@ class Counter:
                 self.reset()
                 new, which = np.unique(keys, return_index=True)
                 if len(new) > MAX_PIECES:
-                    raise ValueError("more distinct pieces in a slice than the table holds")
-            ids, n = self._encode(data, starts[which], ends[which])
-            size = self.pieces.size
-            while self.pool_size + len(ids) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-            self.pool[self.pool_size : self.pool_size + len(ids)] = ids
-            self.at[size : size + len(new)] = self.pool_size + np.cumsum(n) - n
-            self.n_tokens[size : size + len(new)] = n
-            self.pool_size += len(ids)
-            self.pieces.put(new, np.arange(size, size + len(new), dtype=np.int32))
+                    self.reset(len(new))
+            for low in range(0, len(new), MAX_PIECES):
+                part = which[low : low + MAX_PIECES]
+                self._keep(new[low : low + MAX_PIECES], *self._encode(data, starts[part], ends[part]))
             entry = self.pieces.get(keys)
         return entry
 
+    def _keep(self, new: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
+        """Add pieces with their ids, one behind the other, and the numbers of these."""
+        size = self.pieces.size
+        while self.pool_size + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.pool_size : self.pool_size + len(ids)] = ids
+        self.at[size : size + len(new)] = self.pool_size + np.cumsum(n) - n
+        self.n_tokens[size : size + len(new)] = n
+        self.pool_size += len(ids)
+        self.pieces.put(new, np.arange(size, size + len(new), dtype=np.int32))
+
 
 # Classes of characters. Letters of contractions have classes of their own.
 BLANK, WHITE, LETTER, NUMBER, OTHER, QUOTE, STMD, RV, ELL, EE, BREAK = range(11)

@@ -60,6 +60,19 @@ def test_full_piece_table_only_costs_time(monkeypatch):
     assert got == [len(library_ids(t)) for t in texts]
 
 
+def test_text_with_more_pieces_than_the_table(monkeypatch):
+    from odflow.llm import transducer
+
+    monkeypatch.setattr(transducer, "MAX_PIECES", 64)
+    monkeypatch.setattr(transducer, "MAX_PAIRS", 64)
+    machine = transducer.Tokenizer(vocabulary())
+    texts = ["ab cd", " ".join(f"id{i * 7919}x" for i in range(900)), "ab cd ef", " ".join(map(str, range(500)))]
+    for text in texts * 2:
+        (part,) = text_slices(pa.array([text]))
+        assert machine.counts(*part[2:]).tolist() == [len(library_ids(text))]
+        assert machine.ids(*part[2:])[0].tolist() == library_ids(text)
+
+
 def test_token_counts(docs, none):
     rows = token_counts.token_counts(docs, vocabulary()).collect()
     source = docs.collect()
