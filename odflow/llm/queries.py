@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from odflow.llm import (
     conversation_repair,
     html_extract,
+    jaccard_join,
     mixing,
     near_dedup,
     neighbours,
@@ -91,6 +92,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_conversations(_table(spark, sf_dir, "conversations"))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
 
@@ -107,5 +112,6 @@ QUERIES = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_source_mixing": op10_source_mixing,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_jaccard_join": op12_jaccard_join,
     "op13_prefix_trie": op13_prefix_trie,
 }

@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables missi
 
 def test_registration():
     names = [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES]
-    assert sorted(names) == list(range(1, 11))
+    assert sorted(names) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(queries())
     assert set(ORACLE) <= set(oracle_sql())
 
