@@ -92,10 +92,15 @@ def _lacking(segments: int, size: int, needed: int) -> float:
 
 @lru_cache(maxsize=None)
 def scheme(number: int, percent: int) -> tuple[int, bool]:
-    """Segments of a band's scheme, and whether their share is 2."""
+    """Segments of a band's scheme, and whether their share is 2.
+
+    No segments, if sets of these sizes are linked only if they are equal.
+    """
     low, high = _band(number, percent)
     top = high * 100 // percent
     most = _needed(top, high, percent)
+    if most == 1:
+        return 0, False
     sizes = sorted({low, high, top, *np.linspace(low, top, 24).astype(int).tolist()})
     bound = log(LACKING)
 
@@ -106,7 +111,7 @@ def scheme(number: int, percent: int) -> tuple[int, bool]:
             if _needed(s, high, percent) > 1
         )
 
-    segments, most_useful = max(most, 1), int(low / FILLED)
+    segments, most_useful = most, int(low / FILLED)
     while segments <= most_useful and not enough(segments):
         segments += max(1, segments // 32)
     if segments <= most_useful:
@@ -119,7 +124,8 @@ def _keys(
 ) -> np.ndarray:
     """Keys whose last bit tells whether the set probes with them."""
     with np.errstate(over="ignore"):
-        place = mix64(number.astype(np.uint64) << np.uint64(32) | segment.astype(np.uint64))
+        number = number.astype(np.uint64) + np.uint64(1)
+        place = mix64(number << np.uint64(32) | segment.astype(np.uint64))
         return mix64(contents + place) & ~np.uint64(1) | probe.astype(np.uint64)
 
 
@@ -167,6 +173,7 @@ def signatures(
         # A set above every partner's reach has no part in the band below.
         joins = (sizes > 0) & (number >= 0)
         joins &= sizes * percent <= 100 * table[np.maximum(number, 0), 2]
+        joins &= table[np.maximum(number, 0), 0] > 0
         for double in (False, True):
             chosen = np.flatnonzero(joins & (table[np.maximum(number, 0), 1] == double))
             if not len(chosen):
