@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from odflow.operators import exact
+
 
 def endpoint_events(trips: DataFrame) -> DataFrame:
     """``(station_id, side)``: a trip gives one ``out`` and one ``in`` event."""
@@ -94,40 +96,14 @@ def flow_extremes(flows: DataFrame) -> DataFrame:
     )
 
 
-# Durations up to this are summed as decimals, so that neither the order of the rows
-# nor their partitioning changes a total. Larger ones are summed as doubles.
-EXACT_BELOW = 1e15
-
-
 def partial_sums(trips: DataFrame, key: str = "origin") -> DataFrame:
-    """``(key, exact, rest, n_trips)``: totals that can be merged without rounding."""
-    return trips.groupBy(key).agg(*_duration_sums(F.col("duration")))
-
-
-def _duration_sums(duration: Column) -> list[Column]:
-    small = F.when(F.abs(duration) < EXACT_BELOW, duration)
-    large = F.when(F.abs(duration) >= EXACT_BELOW, duration)
-    return [
-        F.sum(small.cast("decimal(25,9)")).alias("exact"),
-        F.sum(large).alias("rest"),
-        F.count("*").alias("n_trips"),
-    ]
-
-
-def _merged_sums() -> list[Column]:
-    return [F.sum(c).alias(c) for c in ("exact", "rest", "n_trips")]
-
-
-def _total() -> Column:
-    zero = F.lit(0.0)
-    return (
-        F.coalesce(F.col("exact").cast("double"), zero) + F.coalesce("rest", zero)
-    ).alias("total_duration")
+    """Sums of durations per key that merge without rounding; see :mod:`exact`."""
+    return exact.partial_sums(trips, [key], "duration", "n_trips")
 
 
 def sum_and_count(trips: DataFrame, key: str = "origin") -> DataFrame:
     """Total duration and trips per key, combined before the shuffle."""
-    return partial_sums(trips, key).select(key, _total(), "n_trips")
+    return exact.totals(partial_sums(trips, key), [key], "total_duration", "n_trips")
 
 
 def partial_sums_grouped(trips: DataFrame, key: str = "origin") -> DataFrame:
@@ -141,17 +117,13 @@ def partial_sums_grouped(trips: DataFrame, key: str = "origin") -> DataFrame:
     grouped = trips.select(key, "duration", salt.alias("_salt")).repartition(
         key, "_salt"
     )
-    return (
-        grouped.groupBy(key, "_salt")
-        .agg(*_duration_sums(F.col("duration")))
-        .groupBy(key)
-        .agg(*_merged_sums())
-    )
+    salted = exact.partial_sums(grouped, [key, "_salt"], "duration", "n_trips")
+    return exact.merge(salted, [key], "n_trips")
 
 
 def sum_and_count_grouped(trips: DataFrame, key: str = "origin") -> DataFrame:
     """:func:`sum_and_count` without combining; kept to show what combining saves."""
-    return partial_sums_grouped(trips, key).select(key, _total(), "n_trips")
+    return exact.totals(partial_sums_grouped(trips, key), [key], "total_duration", "n_trips")
 
 
 def mean_by_zone(
@@ -165,12 +137,9 @@ def mean_by_zone(
     would weight the stations wrongly.
     """
     zones = stations.select(F.col("station_id").alias("origin"), "zone")
+    merged = exact.merge(sums(trips, "origin").join(zones, "origin"), ["zone"], "n_trips")
     return (
-        sums(trips, "origin")
-        .join(zones, "origin")
-        .groupBy("zone")
-        .agg(*_merged_sums())
-        .select("zone", _total(), "n_trips")
+        exact.totals(merged, ["zone"], "total_duration", "n_trips")
         .withColumn(
             "mean_duration", F.round(F.col("total_duration") / F.col("n_trips"), 2)
         )
