@@ -147,6 +147,33 @@ def mean_by_zone(
     )
 
 
+def subtotals(trips: DataFrame, stations: DataFrame) -> DataFrame:
+    """``(level, month, zone, kind, n_trips, total_duration, mean_duration)`` of all levels.
+
+    One row for every combination of month, zone of origin and kind, and for all subtotals
+    over any of them. ``level`` has a bit for each column that is summed over: 4 month,
+    2 zone, 1 kind; so 7 is the grand total, and a null value is told from a subtotal.
+    The trips are scanned and grouped once; zones join the small result, and all levels
+    come from its exact partial sums.
+    """
+    keys = ["month", "zone", "kind"]
+    zones = stations.select(F.col("station_id").alias("origin"), "zone")
+    fine = exact.partial_sums(trips, ["month", "origin", "kind"], "duration", "n_trips")
+    fine = exact.merge(fine.join(zones, "origin"), keys, "n_trips")
+    sums = ", ".join(f"sum({c}) AS {c}" for c in [*exact.SUMS, "n_trips"])
+    every = trips.sparkSession.sql(
+        f"""
+        SELECT {", ".join(keys)}, place, {sums},
+          4 * grouping(month) + 2 * grouping(zone) + grouping(kind) AS level
+        FROM {{fine}} GROUP BY place, CUBE ({", ".join(keys)})
+        """,
+        fine=fine,
+    ).withColumn("level", F.col("level").cast("int"))
+    return exact.totals(every, ["level", *keys], "total_duration", "n_trips").withColumn(
+        "mean_duration", F.round(F.col("total_duration") / F.col("n_trips"), 2)
+    )
+
+
 def departures(trips: DataFrame, prefix: str = "") -> DataFrame:
     """Trips per origin, for origins that begin with ``prefix``."""
     return (

@@ -2,12 +2,12 @@
 
 import random
 from collections import Counter
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from odflow.operators import compare, graph, indicators, profile
+from odflow.operators import compare, graph, indicators, profile, rolling
 from odflow.spec import TRIP_SCHEMA
 
 STATIONS = [(f"S{i:02d}", f"Station {i}", i % 3) for i in range(12)]
@@ -255,3 +255,30 @@ def test_profile(spark, stations):
     ]
     assert rows(profile.repeated_ids(lines)) == [("T1", 2)]
     assert [r["line_no"] for r in profile.tail(lines, 2).collect()] == [5, 6]
+
+
+def test_subtotals_of_all_levels(trips, stations):
+    got = indicators.subtotals(trips.withColumn("month", F.lit("2024-01")), stations)
+    levels = Counter(r["level"] for r in got.collect())
+    kinds, zones = len({r[6] for r in ROWS}), len(set(ZONE.values()))
+    assert levels[7] == levels[3] == 1 and levels[5] <= zones and levels[6] == kinds
+    whole = got.filter("level = 7").first()
+    assert whole["n_trips"] == len(ROWS) and whole["total_duration"] == sum(r[4] for r in ROWS)
+
+
+def test_rolling_flows(spark):
+    rng = random.Random(9)
+    days = [rng.choice([None, *range(40)]) for _ in range(300)]
+    start = datetime(2024, 2, 20)
+    rows_ = [(rng.choice(["A", "B", None]), None if d is None else start + timedelta(days=d, hours=7)) for d in days]
+    trips = spark.createDataFrame(rows_, "origin STRING, ts TIMESTAMP_NTZ")
+    count = Counter((o, t.date()) for o, t in rows_ if o and t)
+    for n in (1, 2, 7):
+        wanted = {
+            (o, d, k, sum(count[o, d - timedelta(days=i)] for i in range(n)), k - count[o, d - timedelta(days=1)])
+            for (o, d), k in list(count.items())
+        }
+        got = [tuple(r) for r in rolling.rolling_departures(trips, n).collect()]
+        assert len(got) == len(wanted) and set(got) == wanted
+        swapped = trips.withColumnRenamed("origin", "destination")
+        assert {tuple(r) for r in rolling.rolling_arrivals(swapped, n).collect()} == wanted

@@ -7,9 +7,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry
-from odflow.plans.oracle import ORACLE
-from odflow.plans.registry import QUERIES
+from __spark_entry__ import ORACLE, QUERIES, entry
 
 SF_DIR = Path("/root/testdata/sf0.001")
 
