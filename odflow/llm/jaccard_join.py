@@ -364,63 +364,86 @@ def _elements(column: pa.Array) -> list[np.ndarray]:
 
 
 def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sizes of both sets and of what they share.
+
+    Of a group of three sets or more (n), also the elements by which b differs from a.
+    """
     for batch in batches:
-        left, right = _elements(batch.column(2)), _elements(batch.column(3))
-        both = [
-            len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right, strict=True)
-        ]
-        sizes = [pa.array([len(x) for x in side], pa.int64()) for side in (left, right)]
+        rows = []
+        for h, x, n in zip(
+            _elements(batch.column("_sa")),
+            _elements(batch.column("_sb")),
+            batch.column("n").to_pylist(),
+            strict=True,
+        ):
+            if n > 2:
+                added = np.setdiff1d(x, h, assume_unique=True)
+                gone = np.setdiff1d(h, x, assume_unique=True)
+                both = len(x) - len(added)
+                rows.append((len(h), len(x), both, added.tobytes(), gone.tobytes()))
+            else:
+                both = len(np.intersect1d(x, h, assume_unique=True))
+                rows.append((len(h), len(x), both, None, None))
+        columns = zip(*rows, strict=True) if rows else [()] * 5
+        types = [pa.int64()] * 3 + [pa.binary()] * 2
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:2], *sizes, pa.array(both, pa.int64())],
-            ["a", "b", "n_a", "n_b", "both"],
+            [
+                *(batch.column(c) for c in ("a", "b", "n")),
+                *(pa.array(c, t) for c, t in zip(columns, types, strict=True)),
+            ],
+            ["a", "b", "n", "n_a", "n_b", "both", "added", "gone"],
         )
 
 
 def _differences(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Elements by which a set (b) differs from its hub (a).
+    """Elements by which sets differ from their hub, one row each.
 
     What the hub has and the set has not comes last in every order below, so it is left
     out where the other elements fill the longest prefix that is used.
     """
     for batch in batches:
         parts = []
-        for i, (h, x) in enumerate(
-            zip(_elements(batch.column(2)), _elements(batch.column(3)), strict=True)
+        for i, (size, added, gone) in enumerate(
+            zip(
+                batch.column("n_b").to_pylist(),
+                _elements(batch.column("added")),
+                _elements(batch.column("gone")),
+                strict=True,
+            )
         ):
-            added = np.setdiff1d(x, h, assume_unique=True)
-            gone = np.setdiff1d(h, x, assume_unique=True)
-            n = len(added) + len(gone)
-            if len(added) > (100 - percent) * len(x) // percent:
+            if len(added) > (100 - percent) * size // percent + 2:
                 gone = gone[:0]
             element = np.concatenate([added, gone]).view(np.int64)
-            m = len(element)
-            parts.append(
-                (np.full(m, i), element, np.arange(m) >= len(added), np.full(m, n),
-                 np.full(m, len(x)), np.full(m, len(h)))
-            )
+            parts.append((np.full(len(element), i), element, np.arange(len(element)) >= len(added)))
         if not parts:
             continue
-        row, element, gone, n, size, hub_size = map(np.concatenate, zip(*parts, strict=True))
+        row, element, gone = map(np.concatenate, zip(*parts, strict=True))
         row = pa.array(row)
         yield pa.RecordBatch.from_arrays(
             [
-                *(batch.column(i).take(row) for i in (0, 1, 4)),
-                *(pa.array(c) for c in (element, gone, n, size, hub_size)),
+                batch.column("a").take(row),
+                batch.column("b").take(row),
+                pa.array(element),
+                pa.array(gone),
             ],
-            ["hub", "id", "loose", "element", "gone", "n", "size", "hub_size"],
+            ["hub", "id", "element", "gone"],
         )
 
 
-def _with_sets(pairs: DataFrame, sets: DataFrame, *more: str) -> DataFrame:
-    left = sets.select(F.col("id").alias("a"), F.col("members").alias("_sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("members").alias("_sb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "_sa", "_sb", *more)
-
-
 def _compared(pairs: DataFrame, sets: DataFrame, label: str) -> DataFrame:
-    """``(a, b, n_a, n_b, both)``, written."""
-    sizes = _with_sets(pairs, sets).mapInArrow(
-        _overlap, "a bigint, b bigint, n_a bigint, n_b bigint, both bigint"
+    """``(a, b, n, n_a, n_b, both, added, gone)``, written.
+
+    The sets of b travel to a, once per pair. Those of a are hubs: few, and often large.
+    """
+    hubs = materialize(pairs.select(F.col("a").alias("id")).distinct(), f"{label}-hubs")
+    left = sets.join(hubs, "id", "left_semi").select(
+        F.col("id").alias("a"), F.col("members").alias("_sa")
+    )
+    right = sets.select(F.col("id").alias("b"), F.col("members").alias("_sb"))
+    both = pairs.join(right, "b").join(materialize(left, f"{label}-sets"), "a")
+    sizes = both.select("a", "b", "n", "_sa", "_sb").mapInArrow(
+        _overlap,
+        "a bigint, b bigint, n bigint, n_a bigint, n_b bigint, both bigint, added binary, gone binary",
     )
     return materialize(sizes, label)
 
@@ -457,9 +480,7 @@ def _placed(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return both.withColumns({"_ca": F.coalesce("_ca", "a"), "_cb": F.coalesce("_cb", "b")})
 
 
-def _unsettled(
-    groups: DataFrame, sets: DataFrame, found: DataFrame, percent: int
-) -> DataFrame:
+def _unsettled(seen: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """Pairs of members of a hub that may be linked, but not through what is found.
 
     With d the differences from the hub, two linked sets share at least
@@ -467,28 +488,37 @@ def _unsettled(
     Ordered by how many members share them, the rarest first, a shared one is in a prefix
     of either side; the prefix of the side with fewer differences is the shorter one.
     """
-    pairs = groups.filter(F.col("n") > 2).select(F.col("hub").alias("a"), F.col("id").alias("b"))
-    placed = _placed(pairs, found).select("a", "b", (F.col("_ca") != F.col("_cb")).alias("loose"))
-    placed = materialize(placed, "hub-members")
+    placed = _placed(seen.filter(F.col("n") > 2), found).select(
+        "a", "b", "n_a", "n_b", "both", "added", "gone", (F.col("_ca") != F.col("_cb")).alias("loose")
+    )
     hubs = placed.groupBy(F.col("a").alias("_hub")).agg(
         F.count_if("loose").alias("_loose"), F.count("*").alias("_all")
     )
     hubs = hubs.filter((F.col("_loose") > 0) & (F.col("_all") > 1)).select("_hub")
-    placed = placed.join(materialize(hubs, "open-hubs"), F.col("a") == F.col("_hub"), "left_semi")
-    parts = _with_sets(placed, sets, "loose").mapInArrow(
+    hubs = materialize(hubs, "open-hubs")
+    placed = placed.join(hubs, F.col("a") == F.col("_hub"), "left_semi")
+    placed = materialize(placed, "hub-members")
+    parts = placed.select("a", "b", "n_b", "added", "gone").mapInArrow(
         partial(_differences, percent=percent),
-        "hub bigint, id bigint, loose boolean, element bigint, gone boolean, n bigint, "
-        "size bigint, hub_size bigint",
+        "hub bigint, id bigint, element bigint, gone boolean",
     )
     parts = materialize(parts, "hub-differences")
     key = ["hub", "element", "gone"]
     shared = parts.groupBy(*key).agg(F.count("*").alias("among")).filter(F.col("among") > 1)
     shared = materialize(shared, "difference-counts")
-    ranked = parts.join(shared, key, "left").groupBy("hub", "id").agg(
-        *(F.any_value(c).alias(c) for c in ("loose", "n", "size", "hub_size")),
-        F.array_sort(
-            F.collect_list(F.struct("gone", F.coalesce("among", F.lit(1)).alias("among"), "element"))
-        ).alias("order"),
+    # Elements of one member alone join nothing; they only come first in the order.
+    order = parts.join(shared, key).groupBy("hub", "id").agg(
+        F.array_sort(F.collect_list(F.struct("gone", "among", "element"))).alias("order")
+    )
+    n_added = (F.octet_length("added") / 8).cast("int")
+    members = placed.select(
+        F.col("a").alias("hub"),
+        F.col("b").alias("id"),
+        "loose",
+        (F.col("n_a") + F.col("n_b") - 2 * F.col("both")).alias("n"),
+        F.col("n_b").alias("size"),
+        F.col("n_a").alias("hub_size"),
+        n_added.alias("n_added"),
     )
     other = 100 - percent
     slack = F.floor(other * F.col("size") / percent)
@@ -496,24 +526,30 @@ def _unsettled(
     short = F.greatest(
         F.lit(1), F.ceil((F.col("n") + F.greatest(F.col("n"), least_loose) - slack) / 2)
     )
+    shared_added = F.size(F.filter("order", lambda e: ~e["gone"]))
     # One more than the arithmetic says, against rounding of the quotients above.
-    ranked = ranked.withColumns(
-        {
-            "long_prefix": F.least(F.col("n"), slack + 2).cast("int"),
-            "short_prefix": F.least(F.col("n"), F.col("n") - short + 2).cast("int"),
-        }
-    )
-    ranked = ranked.filter(F.size("order") > 0).select(
-        "hub", "id", "loose", "n", "size", "long_prefix", "short_prefix", F.posexplode("order")
+    ranked = order.join(members, ["hub", "id"]).select(
+        "hub",
+        "id",
+        "loose",
+        "n",
+        "size",
+        (slack + 2).alias("long_prefix"),
+        (F.col("n") - short + 2).alias("short_prefix"),
+        (F.col("n_added") - shared_added).alias("alone"),
+        F.posexplode("order"),
     )
-    # An element of one member alone joins nothing.
-    ranked = ranked.filter(F.col("col.among") > 1).select(
+    # What only the hub has and this set alone lacks would stand before the shared ones of
+    # its kind. Leaving it out brings them forward, which keeps every prefix complete.
+    ranked = ranked.select(
         "hub", "id", "loose", "n", "size", "long_prefix", "short_prefix",
-        F.col("pos").alias("pos"), F.col("col.gone").alias("gone"), F.col("col.element").alias("element"),
-    )
+        (F.col("pos") + F.col("alone")).alias("pos"),
+        F.col("col.gone").alias("gone"),
+        F.col("col.element").alias("element"),
+    ).filter(F.col("pos") < F.greatest("long_prefix", "short_prefix"))
     ranked = materialize(ranked, "ranked-differences")
     long = ranked.filter(F.col("pos") < F.col("long_prefix")).alias("x")
-    short = ranked.filter(F.col("pos") < F.col("short_prefix")).alias("y")
+    short_rows = ranked.filter(F.col("pos") < F.col("short_prefix")).alias("y")
     apart = F.col("x.n") + F.col("y.n") - 2 * F.least(
         F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")
     )
@@ -525,7 +561,7 @@ def _unsettled(
         & (F.col("x.loose") | F.col("y.loose"))
         & ((100 + percent) * apart <= other * (F.col("x.size") + F.col("y.size")))
     )
-    met_pairs = long.join(short, met).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    met_pairs = long.join(short_rows, met).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
     near = _placed(materialize(met_pairs.distinct(), "difference-pairs"), found)
     return near.filter(F.col("_ca") != F.col("_cb")).select("a", "b")
 
@@ -623,9 +659,11 @@ def jaccard_components(
         return materialize(sets.dropDuplicates(["id"]), "full-sets")
 
     sets = full_sets(needed)
-    links = _compared(pairs, sets, "hub-pairs").filter(linked(percent)).select("a", "b")
+    pairs = groups.select(F.col("hub").alias("a"), F.col("id").alias("b"), "n")
+    seen = _compared(pairs, sets, "hub-pairs")
+    links = seen.filter(linked(percent)).select("a", "b")
     found = materialize(components(links), "set-components")
-    rest = _unsettled(groups, sets, found, percent)
+    rest = _unsettled(seen, found, percent)
     if not lacking.isEmpty():
         more = materialize(_through_elements(docs, lacking, sets, shingle, percent), "element-pairs")
         partners = classes.join(more.select(F.col("b").alias("id")), "id", "left_semi")
@@ -633,7 +671,8 @@ def jaccard_components(
         rest = rest.union(more)
     rest = materialize(rest.distinct(), "open-pairs")
     if not rest.isEmpty():
-        late = _compared(rest, sets, "late-pairs").filter(linked(percent)).select("a", "b")
+        late = _compared(rest.withColumn("n", F.lit(2).cast("bigint")), sets, "late-pairs")
+        late = late.filter(linked(percent)).select("a", "b")
         links = materialize(links.union(late), "all-links")
         found = materialize(components(links), "set-components")
     of_set = classes.join(found, F.col("id") == F.col("node"), "left").withColumn(
