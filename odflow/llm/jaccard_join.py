@@ -48,6 +48,7 @@ LACKING = 1e-9
 FILLED = 2.5
 KEYS_PER_TASK = 2_000_000
 MERGE_KEYS = 1_000_000
+FILTER_BITS = 26
 
 
 def differ_at_most(percent: int, total: int) -> int:
@@ -345,14 +346,43 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield merged()
 
 
-def _full_sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
-    """The elements of the texts whose set is the wanted one."""
+def _marks(wanted: DataFrame) -> np.ndarray:
+    """A Bloom filter of the ids: at most 8 MB, however many ids there are.
+
+    It only keeps most of the other sets from travelling; the join behind it is exact.
+    """
+    n = wanted.count()
+    bits = min(max(10, (16 * n).bit_length()), FILTER_BITS)
+    spots = [F.col("id"), F.shiftrightunsigned("id", 32)]
+    spot = F.explode(F.array(*(s.bitwiseAND(F.lit((1 << bits) - 1)) for s in spots)))
+    words = (
+        wanted.select(spot.alias("spot"))
+        .groupBy(F.shiftright("spot", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(spot & 63 AS INT))")).alias("bits"))
+        .toArrow()
+    )
+    table = np.zeros(1 << (bits - 6), np.int64)
+    table[words.column(0).to_numpy()] = words.column(1).to_numpy()
+    return table
+
+
+def _marked(ids: np.ndarray, table: np.ndarray) -> np.ndarray:
+    found = np.ones(len(ids), bool)
+    for spots in (ids.view(np.uint64), ids.view(np.uint64) >> np.uint64(32)):
+        spots = (spots & np.uint64(64 * len(table) - 1)).astype(np.int64)
+        found &= table[spots >> 6].view(np.uint64) >> (spots & 63).astype(np.uint64) & np.uint64(1) == 1
+    return found
+
+
+def _full_sets(
+    batches: Iterator[pa.RecordBatch], shingle: int, marks: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """The elements of the texts whose set is marked."""
     for batch in batches:
-        wanted = batch.column(1).to_numpy()
-        for low, high, data, offsets in text_slices(batch.column(0)):
+        for _, _, data, offsets in text_slices(batch.column(0)):
             hashes, first = shingle_sets(data, offsets, shingle)
             ids = set_ids(hashes, first)
-            rows = np.flatnonzero(ids == wanted[low:high])
+            rows = np.flatnonzero(_marked(ids, marks) & (np.diff(first) > 0))
             sets = [hashes[first[i] : first[i + 1]].tobytes() for i in rows]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[rows]), pa.array(sets, pa.binary())], ["id", "members"]
@@ -508,7 +538,8 @@ def _unsettled(seen: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     shared = materialize(shared, "difference-counts")
     # Elements of one member alone join nothing; they only come first in the order.
     order = parts.join(shared, key).groupBy("hub", "id").agg(
-        F.array_sort(F.collect_list(F.struct("gone", "among", "element"))).alias("order")
+        F.array_sort(F.collect_list(F.struct("gone", "among", "element"))).alias("order"),
+        F.count_if(~F.col("gone")).alias("shared_added"),
     )
     n_added = (F.octet_length("added") / 8).cast("int")
     members = placed.select(
@@ -526,7 +557,6 @@ def _unsettled(seen: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     short = F.greatest(
         F.lit(1), F.ceil((F.col("n") + F.greatest(F.col("n"), least_loose) - slack) / 2)
     )
-    shared_added = F.size(F.filter("order", lambda e: ~e["gone"]))
     # One more than the arithmetic says, against rounding of the quotients above.
     ranked = order.join(members, ["hub", "id"]).select(
         "hub",
@@ -536,7 +566,7 @@ def _unsettled(seen: DataFrame, found: DataFrame, percent: int) -> DataFrame:
         "size",
         (slack + 2).alias("long_prefix"),
         (F.col("n") - short + 2).alias("short_prefix"),
-        (F.col("n_added") - shared_added).alias("alone"),
+        (F.col("n_added") - F.col("shared_added")).alias("alone"),
         F.posexplode("order"),
     )
     # What only the hub has and this set alone lacks would stand before the shared ones of
@@ -650,13 +680,11 @@ def jaccard_components(
     needed = materialize(classes.join(needed, "id", "left_semi"), "needed-sets")
 
     def full_sets(wanted: DataFrame) -> DataFrame:
-        texts = docs.join(
-            wanted.select(F.col("least_doc").alias("_doc"), "id"), F.col("doc_id") == F.col("_doc")
-        )
-        sets = texts.select("text", "id").mapInArrow(
-            partial(_full_sets, shingle=shingle), "id bigint, members binary"
+        sets = keyed.mapInArrow(
+            partial(_full_sets, shingle=shingle, marks=_marks(wanted)), "id bigint, members binary"
         )
-        return materialize(sets.dropDuplicates(["id"]), "full-sets")
+        sets = sets.join(wanted.select("id"), "id", "left_semi").groupBy("id")
+        return materialize(sets.agg(F.any_value("members").alias("members")), "full-sets")
 
     sets = full_sets(needed)
     pairs = groups.select(F.col("hub").alias("a"), F.col("id").alias("b"), "n")
