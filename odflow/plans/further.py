@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odflow.operators import asof, exact, graph, indicators, intervals, rolling, sessions, walks
+from odflow.operators import (
+    asof,
+    exact,
+    graph,
+    indicators,
+    intervals,
+    rolling,
+    sessions,
+    sketches,
+    walks,
+)
 from odflow.plans import given_tables as given
 from odflow.plans import oracle, registry
-from odflow.sources.scratch import scratch_path
+from odflow.sources.scratch import materialize, scratch_path
 from odflow.streaming.rejects import RejectStream
 
 PAGERANK_ROUNDS = 8
@@ -165,8 +175,54 @@ def sum_count_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indicators.sum_and_count(trips)
 
 
+QUANTILES = [0.1, 0.5, 0.9, 0.99]
+
+
+def _quarter() -> Column:
+    """Year and quarter of a month, as ``2026-Q1``."""
+    number = F.ceil(F.substring("month", 6, 2).cast("int") / 3)
+    return F.concat(F.substring("month", 1, 5), F.lit("Q"), number).alias("quarter")
+
+
+def _quarters(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Valid trips with their quarter, and the sketches of the quarters from stored months."""
+    trips = materialize(
+        registry.valid_trips(spark, sf_dir).select("trip_id", "distance", "month", _quarter()),
+        "sketched-trips",
+    )
+    state = sketches.sketch_state(trips, ["month"], {"ids": "trip_id"}, {"distances": "distance"})
+    state = materialize(state, "month-sketches")
+    return trips, sketches.merge_states(state, [_quarter()], ["ids"], ["distances"])
+
+
+def sketched_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips and ids by quarter, and whether the estimate lies within five standard errors."""
+    trips, quarters = _quarters(spark, sf_dir)
+    exact_ids = trips.groupBy("quarter").agg(F.count_distinct("trip_id").alias("n_ids"))
+    error = F.abs(sketches.distinct_estimate("ids") - F.col("n_ids"))
+    bound = F.col("n_ids") * (5 * 1.04 / 2 ** (sketches.LG_K / 2))
+    return quarters.join(exact_ids, "quarter").select(
+        "quarter", F.col("n_rows").alias("n_trips"), "n_ids", (error <= bound).alias("within")
+    )
+
+
+def sketched_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each quantile of the distances of a quarter is right to 2 % of its ranks."""
+    trips, quarters = _quarters(spark, sf_dir)
+    estimates = quarters.select(
+        "quarter", sketches.quantile_estimates("distances", QUANTILES).alias("at")
+    )
+    ranks = sketches.exact_ranks(
+        trips.join(estimates, "quarter"), ["quarter"], "distance", "at", QUANTILES
+    )
+    near = (F.col("below") <= F.col("share") + 0.02) & (F.col("up_to") >= F.col("share") - 0.02)
+    return ranks.select("quarter", "share", near.alias("within"))
+
+
 _on_trips, _on_lines = oracle._on_trips, oracle._on_lines
 
+_QUARTER_SQL = "concat(year(ts), '-Q', quarter(ts))"
+
 _SPANS = """spans AS (
   SELECT l_suppkey AS supplier, l_orderkey AS k, l_linenumber AS l,
     o_orderdate::DATE AS s, l_shipdate::DATE AS e
@@ -232,6 +288,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rolling_departures,
         trip_subtotals,
         sum_count_fractional,
+        sketched_distinct,
+        sketched_quantiles,
     )
 }
 
@@ -291,4 +349,12 @@ FROM valid JOIN stations ON origin = station_id GROUP BY CUBE (month, zone, kind
         """SELECT origin, sum(round(distance * 100000)::HUGEINT)::DOUBLE / 1048576 AS total_duration,
   count(*) AS n_trips FROM valid GROUP BY origin"""
     ),
+    "sketched_distinct": _on_trips(
+        f"""SELECT {_QUARTER_SQL} AS quarter, count(*) AS n_trips,
+  count(DISTINCT trip_id) AS n_ids, true AS within FROM valid GROUP BY quarter"""
+    ),
+    "sketched_quantiles": _on_trips(
+        f"""SELECT DISTINCT {_QUARTER_SQL} AS quarter, share, true AS within
+FROM valid, (SELECT unnest({QUANTILES}::DOUBLE[]) AS share)"""
+    ),
 }
