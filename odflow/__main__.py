@@ -20,11 +20,12 @@ def main() -> None:
     parser.add_argument("--start", type=datetime.fromisoformat, default=defaults.start)
     parser.add_argument("--end", type=datetime.fromisoformat, default=defaults.end)
     parser.add_argument("--kinds", nargs="+", default=list(defaults.kinds))
+    parser.add_argument("--header", help="header line of the trips; found by a scan if not given")
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName("odflow").getOrCreate()
     spec = TripSpec(args.start, args.end, tuple(args.kinds))
-    chain.run(spark, args.trips, args.stations, args.output, spec)
+    chain.run(spark, args.trips, args.stations, args.output, spec, args.header)
     spark.stop()
 
 

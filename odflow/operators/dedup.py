@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from odflow.sources.scratch import materialize
-
 
 def first_occurrence(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The first row of every ``key`` in ``order``.
@@ -23,19 +21,17 @@ def first_occurrence(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def repeated_keys(df: DataFrame, key: str, order: str) -> DataFrame:
-    """``(key, first_seen)`` for the keys with several rows, as a written table.
+    """``(key, first_seen, n)`` for the keys with several rows.
 
     Only the key and the order column are shuffled, after a partial aggregate in
-    each map task. The table is written so that the joins against it are planned
-    by its true size: broadcast when repeats are few, as they usually are.
+    each map task. Write the result where it is joined to all rows: the join is then
+    planned by its true size, broadcast when repeats are few, as they usually are.
     """
-    repeated = (
+    return (
         df.groupBy(key)
-        .agg(F.min(order).alias("first_seen"), F.count("*").alias("_n"))
-        .filter(F.col("_n") > 1)
-        .drop("_n")
+        .agg(F.min(order).alias("first_seen"), F.count("*").alias("n"))
+        .filter(F.col("n") > 1)
     )
-    return materialize(repeated, "repeated-keys")
 
 
 def first_by_minimum(df: DataFrame, key: str, order: str) -> DataFrame:

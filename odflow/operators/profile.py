@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,13 +44,32 @@ def value_counts(complete: DataFrame, column: str = "kind") -> DataFrame:
     return complete.groupBy(column).agg(F.count("*").alias("n_lines"))
 
 
-def blank_counts(lines: DataFrame) -> DataFrame:
-    """Missing or blank cells per column, all columns in one pass."""
-    missing = {n: F.coalesce(is_blank(F.col(n)), F.lit(True)) for n in TRIP_FIELDS}
-    counts = split_lines(lines).agg(
-        *(F.count_if(is_missing).alias(n) for n, is_missing in missing.items())
+def blank_counts(lines: DataFrame, columns: Sequence[str] = TRIP_FIELDS) -> DataFrame:
+    """Missing or blank cells per column, all columns in one pass.
+
+    ``columns`` names the cells by position, as a header does: see :func:`header_columns`.
+    A line with fewer cells misses the last ones; cells beyond the columns do not count.
+    """
+    cells = F.split("raw", ",", -1)
+    missing = (F.coalesce(is_blank(F.get("cells", F.lit(i))), F.lit(True)) for i in range(len(columns)))
+    counts = lines.select(cells.alias("cells")).agg(
+        F.array(
+            *(
+                F.struct(F.lit(name).alias("column"), F.count_if(m).alias("n_blank"))
+                for name, m in zip(columns, missing, strict=True)
+            )
+        ).alias("counts")
     )
-    return counts.unpivot([], list(TRIP_FIELDS), "column", "n_blank")
+    return counts.select(F.inline("counts"))
+
+
+def header_columns(header: str) -> list[str]:
+    """The names in a header line, trimmed; unnamed and repeated ones get their position."""
+    names: list[str] = []
+    for place, cell in enumerate(header.split(","), 1):
+        name = cell.strip()
+        names.append(name if name and name not in names else f"{name}#{place}")
+    return names
 
 
 def mark_anomalies(complete: DataFrame, stations: DataFrame) -> DataFrame:

@@ -73,18 +73,34 @@ def passing(checked: DataFrame) -> DataFrame:
     return checked.filter(F.col("reason").isNull()).drop("reason")
 
 
-def valid_trips(checked: DataFrame) -> DataFrame:
+def repeated_ids(checked: DataFrame) -> DataFrame:
+    """``(trip_id, first_seen, n)`` of the ids that several passing lines have.
+
+    This is all that the ninth rule needs. Written once, it settles the repeats for
+    every function below that takes ``repeated``; without it each settles them anew.
+    """
+    return repeated_keys(passing(checked), "trip_id", "line_no")
+
+
+def valid_trips(checked: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """Typed trips that pass all rules; the lowest line number of an id wins.
 
-    Invalid lines are removed first, so they never hide a later valid line.
+    Invalid lines are removed first, so they never hide a later valid line. With
+    ``repeated`` only the lines of repeated ids are looked at, and none is shuffled
+    as long as that table can be broadcast.
     """
     trips = passing(checked).select("line_no", *TRIP_FIELDS)
-    return first_occurrence(trips, "trip_id", ["line_no"]).drop("line_no")
+    if repeated is None:
+        first = first_occurrence(trips, "trip_id", ["line_no"])
+    else:
+        is_later = F.coalesce(F.col("line_no") > F.col("first_seen"), F.lit(False))
+        first = trips.join(repeated, "trip_id", "left").filter(~is_later)
+    return first.select(*TRIP_FIELDS)
 
 
-def classify(checked: DataFrame) -> DataFrame:
+def classify(checked: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """``checked`` with the final ``reason``, duplicate ids included."""
-    repeated = repeated_keys(passing(checked), "trip_id", "line_no")
+    repeated = repeated_ids(checked) if repeated is None else repeated
     is_repeat = F.col("reason").isNull() & (F.col("line_no") > F.col("first_seen"))
     return (
         checked.join(repeated, "trip_id", "left")
@@ -96,53 +112,66 @@ def classify(checked: DataFrame) -> DataFrame:
     )
 
 
-def rejects(checked: DataFrame) -> DataFrame:
-    """``(reason, line_no, raw)`` of every rejected line, in file order.
+def reject_rows(checked: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """``(reason, line_no, raw)`` of every rejected line, in no order.
 
     Lines rejected by a rule and repeated ids come out of one pass.
     """
     return (
-        classify(checked)
+        classify(checked, repeated)
         .filter(F.col("reason").isNotNull())
         .select("reason", "line_no", "raw")
-        .orderBy("line_no")
     )
 
 
-def reason_counts(checked: DataFrame) -> DataFrame:
+def rejects(checked: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """:func:`reject_rows` in file order.
+
+    A sort reads its input twice. Where lines are many and rejects few, write
+    :func:`reject_rows` first and sort that.
+    """
+    return reject_rows(checked, repeated).orderBy("line_no")
+
+
+def reason_counts(checked: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """``(reason, n_lines)`` including duplicates; null reason = valid.
 
-    One pass over the lines. Lines are combined per (reason, id) in the map
-    tasks; an id with n passing lines gives one valid line and n - 1 duplicates.
+    One pass over the lines. An id with n passing lines gives one valid line and n - 1
+    duplicates. With ``repeated`` the lines are combined per reason in the map tasks;
+    without it per (reason, id).
     """
-    passing_id = F.when(F.col("reason").isNull(), F.col("trip_id"))
-    per_id = checked.groupBy("reason", passing_id.alias("trip_id")).agg(
-        F.count("*").alias("n")
-    )
+    n = F.col("n")
+    if repeated is None:
+        passing_id = F.when(F.col("reason").isNull(), F.col("trip_id"))
+        counts = checked.groupBy("reason", passing_id.alias("trip_id")).agg(
+            F.count("*").alias("n")
+        )
+        later = n - 1
+    else:
+        counts = checked.groupBy("reason").agg(F.count("*").alias("n"))
+        later = repeated.agg(F.coalesce(F.sum(n - 1), F.lit(0)).alias("later")).scalar()
     split = F.when(
         F.col("reason").isNull(),
         F.array(
-            F.struct(F.lit(None).cast("string").alias("reason"), F.lit(1).alias("n")),
-            F.struct(
-                F.lit(reasons.DUPLICATE).alias("reason"), (F.col("n") - 1).alias("n")
-            ),
+            F.struct(F.lit(None).cast("string").alias("reason"), (n - later).alias("n")),
+            F.struct(F.lit(reasons.DUPLICATE).alias("reason"), later.alias("n")),
         ),
     ).otherwise(F.array(F.struct("reason", "n")))
     return (
-        per_id.select(F.inline(split))
+        counts.select(F.inline(split))
         .groupBy("reason")
         .agg(F.sum("n").alias("n_lines"))
     )
 
 
-def reject_summary(checked: DataFrame) -> DataFrame:
+def reject_summary(checked: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """``(rule_order, reason, n_lines)`` for all nine reasons, zeros included."""
     spark = checked.sparkSession
     rules = spark.createDataFrame(
         list(enumerate(REASONS, 1)), "rule_order INT, reason STRING"
     )
     return (
-        rules.join(reason_counts(checked), "reason", "left")
+        rules.join(reason_counts(checked, repeated), "reason", "left")
         .select(
             "rule_order",
             "reason",
@@ -152,7 +181,9 @@ def reject_summary(checked: DataFrame) -> DataFrame:
     )
 
 
-def reconcile(lines: DataFrame, checked: DataFrame) -> DataFrame:
+def reconcile(
+    lines: DataFrame, checked: DataFrame, repeated: DataFrame | None = None
+) -> DataFrame:
     """One row: lines read, valid and rejected, and whether they add up.
 
     ``lines`` are counted on their own, not derived from the other two.
@@ -161,7 +192,7 @@ def reconcile(lines: DataFrame, checked: DataFrame) -> DataFrame:
     valid = F.col("reason").isNull()
     read = lines.agg(F.count("*")).scalar()
     return (
-        reason_counts(checked)
+        reason_counts(checked, repeated)
         .agg(
             F.coalesce(F.sum(F.when(valid, n_lines)), F.lit(0)).alias("n_valid"),
             F.coalesce(F.sum(F.when(~valid, n_lines)), F.lit(0)).alias("n_rejected"),

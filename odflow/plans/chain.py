@@ -19,12 +19,14 @@ SAMPLES = {"unknown_station": 5, "bad_duration": 10, "bad_distance": 10, "bad_da
 
 @dataclass(frozen=True)
 class Inputs:
-    """One data set: lines as scanned, numbered and checked, and the stations."""
+    """One data set: lines as scanned, numbered and checked, repeated ids, and the stations."""
 
     raw: DataFrame
     lines: DataFrame
     checked: DataFrame
+    repeated: DataFrame
     stations: DataFrame
+    header: str | None
 
 
 def load(
@@ -37,7 +39,8 @@ def load(
     """Read the files and check every line.
 
     The checked lines feed all later steps, so they are written once: the text
-    is parsed a single time, and later steps read only the columns they need.
+    is parsed a single time, and later steps read only the columns they need. The
+    repeated ids are settled once, too, and written as a table of their own.
     Without ``header`` the first line of the data is taken as the header.
     """
     stations = tables.read_stations(spark, stations_path)
@@ -46,25 +49,32 @@ def load(
     raw = line_source.read_lines(spark, trips_path, header)
     lines = line_source.number_lines(raw)
     checked = materialize(quality.check_lines(lines, stations, spec), "checked")
-    return Inputs(raw, checked.select("line_no", "raw"), checked, stations)
+    repeated = materialize(quality.repeated_ids(checked), "repeated-ids")
+    return Inputs(raw, checked.select("line_no", "raw"), checked, repeated, stations, header)
 
 
 def quality_results(inputs: Inputs) -> dict[str, DataFrame]:
-    """Reject counts by rule, rejected lines, and the control totals."""
+    """Reject counts by rule, rejected lines, and the control totals.
+
+    The rejected lines are written before they are sorted, since a sort reads twice.
+    """
+    settled = inputs.checked, inputs.repeated
+    rejected = materialize(quality.reject_rows(*settled), "rejects")
     return {
-        "reject_summary": quality.reject_summary(inputs.checked),
-        "rejects": quality.rejects(inputs.checked),
-        "reconciliation": quality.reconcile(inputs.raw, inputs.checked),
+        "reject_summary": quality.reject_summary(*settled),
+        "rejects": rejected.orderBy("line_no"),
+        "reconciliation": quality.reconcile(inputs.raw, *settled),
     }
 
 
 def profile_results(inputs: Inputs) -> dict[str, DataFrame]:
-    """What the raw lines look like before the rules."""
+    """What the raw lines look like before the rules; blanks for every column of the header."""
+    columns = profile.header_columns(inputs.header) if inputs.header else TRIP_FIELDS
     complete = profile.complete_lines(inputs.lines)
     marked = profile.mark_anomalies(complete, inputs.stations)
     return {
         "profile_field_counts": profile.field_counts(inputs.lines),
-        "profile_blanks": profile.blank_counts(inputs.lines),
+        "profile_blanks": profile.blank_counts(inputs.lines, columns),
         "profile_kinds": profile.value_counts(complete, "kind"),
         "profile_anomalies": profile.anomaly_counts(marked),
         "profile_anomaly_samples": profile.anomaly_samples(marked, SAMPLES),
@@ -122,14 +132,16 @@ def run(
     stations_path: str,
     output: str,
     spec: TripSpec = TripSpec(),
+    header: str | None = None,
 ) -> dict[str, DataFrame]:
     """Run all steps and write every result below ``output``.
 
     The valid trips become a Parquet layer by month (``output/layer``), which
-    the indicators and the graph read; the other results are CSV folders.
+    the indicators and the graph read; the other results are CSV folders. Without
+    ``header`` one more scan of the trips finds the first line, which is taken for it.
     """
-    inputs = load(spark, trips_path, stations_path, spec)
-    trips = quality.valid_trips(inputs.checked)
+    inputs = load(spark, trips_path, stations_path, spec, header)
+    trips = quality.valid_trips(inputs.checked, inputs.repeated)
     tables.write_month_layer(trips, f"{output}/layer")
     layer = tables.read_month_layer(spark, f"{output}/layer", trips.schema)
 

@@ -52,6 +52,11 @@ def checked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _classified(checked: DataFrame) -> DataFrame:
+    """All lines with their final reason; the repeated ids are written first."""
+    return quality.classify(checked, materialize(quality.repeated_ids(checked), "repeated-ids"))
+
+
 def text_files(spark: SparkSession, sf_dir: str) -> str:
     """The raw lines as text files, a header first; returns their folder."""
     path = scratch_path(spark, "lines")
@@ -80,7 +85,7 @@ def clean_trips(spark, sf_dir):
 
 @query
 def classify_lines(spark, sf_dir):
-    return quality.classify(checked_lines(spark, sf_dir)).select("line_no", "reason")
+    return _classified(checked_lines(spark, sf_dir)).select("line_no", "reason")
 
 
 @query
@@ -95,7 +100,9 @@ def reject_summary(spark, sf_dir):
 
 @query
 def reject_detail(spark, sf_dir):
-    return quality.rejects(checked_lines(spark, sf_dir))
+    checked = checked_lines(spark, sf_dir)
+    repeated = materialize(quality.repeated_ids(checked), "repeated-ids")
+    return materialize(quality.reject_rows(checked, repeated), "rejects").orderBy("line_no")
 
 
 @query
@@ -454,7 +461,7 @@ def classify_text(spark, sf_dir):
         given.line_stations(spark, sf_dir),
         given.LINES_SPEC,
     )
-    return quality.classify(checked).select("line_no", "reason")
+    return _classified(checked).select("line_no", "reason")
 
 
 @query

@@ -11,6 +11,9 @@ from odflow.sources.scratch import materialize
 # only has to tell apart the files that one task reads.
 _SPLIT = ["task", "file", "block_start"]
 
+# Splits whose offsets are sent to every executor: at most 100 MB as a hash table.
+MAX_BROADCAST_SPLITS = 1_500_000
+
 
 def read_lines(
     spark: SparkSession, path: str | list[str], header: str | None = None
@@ -67,7 +70,9 @@ def number_lines(lines: DataFrame) -> DataFrame:
     ``lines`` comes from :func:`read_lines`. The first pass counts the lines of
     every input split and keeps only those counts: one row per split, whose
     running total is the offset of the split. The second pass adds the offset
-    to the position inside the split, so no line is ever shuffled.
+    to the position inside the split. Up to ``MAX_BROADCAST_SPLITS`` splits, that is
+    190 TB in splits of 128 MB, the offsets are broadcast and no line is shuffled;
+    beyond that the planner chooses the join.
 
     Both passes must see the same splits. A split that the first pass did not
     see stops the query instead of giving wrong numbers; fixing
@@ -98,6 +103,8 @@ def number_lines(lines: DataFrame) -> DataFrame:
         ),
         "split-offsets",
     )
+    if offsets.count() <= MAX_BROADCAST_SPLITS:
+        offsets = F.broadcast(offsets)
     shift = F.coalesce(
         "shift",
         F.raise_error(F.lit("input splits changed between two scans")).cast("bigint"),

@@ -237,6 +237,11 @@ def test_profile(spark, stations):
         "distance": 2,
         "kind": 2,
     }
+    wide = profile.header_columns("id,when ,from,to,min,km,kind,, id,id")
+    assert wide == ["id", "when", "from", "to", "min", "km", "kind", "#8", "id#9", "id#10"]
+    assert rows(profile.blank_counts(lines, wide))[6:] == [("kind", 2), ("#8", 6), ("id#9", 6), ("id#10", 6)]
+    assert rows(profile.blank_counts(lines, ["id"])) == [("id", 1)]
+    assert rows(profile.blank_counts(lines.limit(0), ["id", "when"])) == [("id", 0), ("when", 0)]
     assert dict(rows(profile.anomaly_counts(marked))) == {
         "unknown_station": 2,
         "loop": 1,
