@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 BITS = 22
 PARTS = ["digit_0", "digit_1", "digit_2", "digit_3"]
 SUMS = [*PARTS, "odd"]
+# Places of the digits of all doubles, from the smallest one up: 2 ** -1074 to 2 ** 1024.
+LOWEST = -1074 // BITS - (len(PARTS) - 1)
+PLACES = range(LOWEST, 1024 // BITS + 2)
 
 
 def _scaled(x: Column, exponent: Column) -> Column:
@@ -62,29 +65,32 @@ def totals(partial: DataFrame, keys: list[str], total: str, count: str = "n") ->
 
     Null values add nothing; the total of nulls alone is 0.
     """
-    digit = F.array(
+    parts = F.inline(
+        F.array(
+            *(F.struct((F.col("place") - i).alias("at"), F.col(c).alias("digit")) for i, c in enumerate(PARTS))
+        )
+    )
+    # The totals of a row go with its first digit only.
+    first = F.col("at") == F.col("place")
+    sums = F.array(
         *(
-            F.struct((F.col("place") - i).alias("place"), F.coalesce(c, F.lit(0)).alias("digit"))
-            for i, c in enumerate(PARTS)
+            F.coalesce(F.sum(F.when(F.col("at") == p, F.col("digit"))), F.lit(0).cast("bigint"))
+            for p in PLACES
         )
     )
-    per_key = partial.groupBy(*keys).agg(
-        F.flatten(F.collect_list(digit)).alias("_digits"),
-        F.sum("odd").alias("_odd"),
-        F.sum(count).alias(count),
+    per_key = (
+        partial.select("*", parts)
+        .groupBy(*keys)
+        .agg(
+            sums.alias("_digits"),
+            F.sum(F.when(first, F.col("odd"))).alias("_odd"),
+            F.sum(F.when(first, F.col(count))).alias(count),
+        )
     )
-    low = F.array_min(F.transform("_digits", lambda d: d["place"]))
-    high = F.array_max(F.transform("_digits", lambda d: d["place"]))
-    places = per_key.select("*", low.alias("_low"), F.sequence(low, high).alias("_places"))
-
-    def at(place: Column) -> Column:
-        own = F.filter("_digits", lambda d: d["place"] == place)
-        return F.aggregate(own, F.lit(0).cast("bigint"), lambda s, d: s + d["digit"])
-
     # From the lowest place up, every digit keeps its 22 bits and hands on the rest.
     empty = F.array().cast("array<bigint>")
     carried = F.aggregate(
-        F.transform("_places", at),
+        F.col("_digits"),
         F.struct(F.lit(0).cast("bigint").alias("carry"), empty.alias("kept")),
         lambda s, d: F.struct(
             F.shiftright(s["carry"] + d, BITS).alias("carry"),
@@ -115,10 +121,10 @@ def totals(partial: DataFrame, keys: list[str], total: str, count: str = "n") ->
         ),
     )
     n = (F.col("_folded.n") * 2 + F.col("_folded.more").cast("int")).cast(whole).cast("double")
-    lowest = F.col("_low") + F.size("_carried.kept") - F.col("_folded.used")
+    lowest = F.lit(LOWEST + len(PLACES)) - F.col("_folded.used")
     exact = _scaled(n / 2, lowest)
     return (
-        places.select("*", carried.alias("_carried"))
+        per_key.select("*", carried.alias("_carried"))
         .select("*", folded.alias("_folded"))
         .select(*keys, F.coalesce("_odd", exact).alias(total), count)
     )
