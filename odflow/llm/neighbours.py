@@ -73,11 +73,21 @@ def curve_keys(vectors: np.ndarray, curve: int, axes: int = AXES, bits: int = BI
     return hilbert_key(np.clip(spread * (top + 1), 0, top), bits)
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Rows times a power of two, so that their squares neither overflow nor vanish.
+
+    The cosine of such rows is the same to the last bit.
+    """
+    exponent = np.frexp(np.abs(vectors).max(1, keepdims=True, initial=0.0))[1]
+    return np.ldexp(vectors, -exponent)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
+    """The vectors of a column, each scaled."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
+    return scaled(flat.reshape(len(column), -1)) if len(column) else flat.reshape(0, 0)
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -153,7 +163,7 @@ def _ranked(classes: DataFrame, curves: int) -> DataFrame:
 def _true_neighbours(classes: DataFrame, sample: list, k: int) -> DataFrame:
     """``(q, rep)``: the k nearest distinct vectors of the sample, by brute force."""
     ids = np.array([r["rep"] for r in sample])
-    unit = _unit(np.array([r["vector"] for r in sample], float))
+    unit = _unit(scaled(np.array([r["vector"] for r in sample], float)))
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list[tuple] = []
