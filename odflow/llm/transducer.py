@@ -526,15 +526,19 @@ class Tokenizer:
 
     def _cut(self, text: bytes) -> list[tuple[bytes, int]]:
         """``text`` cut at special strings: ``(part, id behind it or -1)``."""
-        parts = []
+        parts: list[tuple[bytes, int]] = []
+        start = 0
+        places = {s: text.find(s.encode()) for s in self.special}
         while True:
-            found = [(text.find(s.encode()), -len(s), s) for s in self.special]
-            found = [x for x in found if x[0] >= 0]
+            for s, at in places.items():
+                if 0 <= at < start:
+                    places[s] = text.find(s.encode(), start)
+            found = [(at, -len(s), s) for s, at in places.items() if at >= 0]
             if not found:
-                return [*parts, (text, -1)]
+                return [*parts, (text[start:], -1)]
             at, _, special = min(found)
-            parts.append((text[:at], self.special[special]))
-            text = text[at + len(special.encode()) :]
+            parts.append((text[start:at], self.special[special]))
+            start = at + len(special.encode())
 
     def counts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Tokens of every text."""
