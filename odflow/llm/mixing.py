@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from odflow.llm.names import fresh
 from odflow.llm.running import running_total
 from odflow.sources.scratch import materialize
 
@@ -148,28 +149,32 @@ def mix(
 
 
 def take_mix(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` as often as :func:`mix` takes them, all columns kept."""
+    """The rows of ``docs`` as often as :func:`mix` takes them, all columns kept.
+
+    Whatever else the columns of ``docs`` are called, they come out as they were.
+    """
+    mix_id, mix_source, mix_size, copies, words, copy = fresh(
+        docs, "_mix_id", "_mix_source", "_mix_size", "_mix_copies", "_mix_words", "_mix_copy"
+    )
     chosen = (
         mix(docs, **options)
         .filter(F.col("copies") > 0)
         .select(
-            F.col("doc_id").alias("_mix_id"),
-            F.col("source").alias("_mix_source"),
-            F.col("size").alias("_mix_size"),
-            F.col("copies").alias("_mix_copies"),
+            F.col("doc_id").alias(mix_id),
+            F.col("source").alias(mix_source),
+            F.col("size").alias(mix_size),
+            F.col("copies").alias(copies),
         )
         .distinct()
     )
     chosen = materialize(chosen, "mix-chosen")
     id_col, source = options.get("id_col", "doc_id"), options.get("source_col", "source")
     text = options.get("text_col", "text")
-    found = docs.withColumn("_mix_words", word_count(F.col(text))).join(
+    found = docs.withColumn(words, word_count(F.col(text))).join(
         chosen,
-        F.col(id_col).eqNullSafe(F.col("_mix_id"))
-        & F.col(source).eqNullSafe(F.col("_mix_source"))
-        & (F.col("_mix_words") == F.col("_mix_size")),
-    )
-    copy = F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))
-    return found.select(*(found[c] for c in docs.columns), copy.alias("_mix_copy")).drop(
-        "_mix_copy"
+        F.col(id_col).eqNullSafe(F.col(mix_id))
+        & F.col(source).eqNullSafe(F.col(mix_source))
+        & (F.col(words) == F.col(mix_size)),
     )
+    turns = F.explode(F.sequence(F.lit(1), F.col(copies)))
+    return found.select(*(found[f"`{c}`"] for c in docs.columns), turns.alias(copy)).drop(copy)

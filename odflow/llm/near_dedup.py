@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odflow.llm.components import components
+from odflow.llm.names import fresh
 from odflow.llm.text import LOWER, mix64, split_words, text_slices
 from odflow.sources.scratch import materialize
 
@@ -422,8 +423,14 @@ def near_duplicates(
     least ``percent`` of their union. ``component_id`` is the smallest id that links
     reach, ``kept`` whether that is the row's own. A null, empty or blank text has no
     set and no link. Equal texts share a component; rows that repeat an id get equal
-    results. A row with a null id links nothing and stays. No rows give no rows.
+    results. A row with a null id links nothing and stays. No rows give no rows. Columns
+    other than the two named are not looked at.
+
+    ``percent`` is 50 to 100: below, what a hub rules out would not follow from the
+    triangle inequality.
     """
+    if not 50 <= percent <= 100:
+        raise ValueError("percent must be between 50 and 100")
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     signed = materialize(
@@ -497,15 +504,17 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each group of near copies, all columns kept.
 
     The row with the smallest id stays; of rows that repeat an id with the same set,
-    any one. Rows with a null id or without words all stay.
+    any one. Rows with a null id or without words all stay. Whatever else the columns of
+    ``docs`` are called, they come out as they were.
     """
+    gone_id, twice_id = fresh(docs, "_gone", "_twice")
     id_col = options.get("id_col", "doc_id")
     result = materialize(near_duplicates(docs, **options), "near-duplicates")
     gone = materialize(
-        result.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(),
+        result.filter(~F.col("kept")).select(F.col("doc_id").alias(gone_id)).distinct(),
         "near-copies",
     )
-    rest = docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    rest = docs.join(gone, F.col(id_col) == F.col(gone_id), "left_anti")
     repeated = (
         result.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
         .groupBy("doc_id")
@@ -514,8 +523,8 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     )
     if repeated.isEmpty():
         return rest
-    twice = materialize(repeated.select(F.col("doc_id").alias("_twice")), "repeated-ids")
-    once = rest.join(twice, F.col(id_col) == F.col("_twice"), "left_anti")
+    twice = materialize(repeated.select(F.col("doc_id").alias(twice_id)), "repeated-ids")
+    once = rest.join(twice, F.col(id_col) == F.col(twice_id), "left_anti")
     return once.unionByName(
-        rest.join(twice, F.col(id_col) == F.col("_twice"), "left_semi").dropDuplicates([id_col])
+        rest.join(twice, F.col(id_col) == F.col(twice_id), "left_semi").dropDuplicates([id_col])
     )

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from odflow.llm.names import fresh
 from odflow.llm.running import running_total
 from odflow.llm.text import mix64, split_words, text_slices
 from odflow.sources.scratch import materialize
@@ -89,7 +90,10 @@ def text_weights(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndar
 def labelled_rows(
     docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str, text_col: str
 ) -> DataFrame:
-    """``(text, quality)`` of at most ``max_rows`` labelled rows, chosen by hash."""
+    """``(text, quality)`` of at most ``max_rows`` labelled rows, chosen by hash.
+
+    An id that several rows have counts once, with the least of its texts.
+    """
     marked = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     chosen = (
         marked.groupBy(F.col("doc_id").alias("_label_id"))
@@ -98,8 +102,10 @@ def labelled_rows(
         .limit(max_rows)
     )
     chosen = F.broadcast(materialize(chosen, "quality-labels"))  # at most max_rows rows
-    return docs.join(chosen, F.col(id_col) == F.col("_label_id")).select(
-        F.col(text_col).alias("text"), "quality"
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+    once = texts.join(chosen, F.col("_id") == F.col("_label_id")).groupBy("_label_id")
+    return once.agg(F.min("text").alias("text"), F.max("quality").alias("quality")).select(
+        "text", "quality"
     )
 
 
@@ -195,15 +201,17 @@ def keep_good(
 ) -> DataFrame:
     """The rows of ``docs`` that the sample keeps, all columns as they are.
 
-    An id goes if none of its rows is kept; rows with a null id all stay.
+    An id goes if none of its rows is kept; rows with a null id all stay. Whatever else
+    the columns of ``docs`` are called, they come out as they were.
     """
+    (gone_id,) = fresh(docs, "_gone")
     model = fit(docs, labels, id_col=id_col, text_col=text_col)
     verdict = quality(docs, model, id_col=id_col, text_col=text_col)
     gone = (
-        verdict.groupBy(F.col("doc_id").alias("_gone"))
+        verdict.groupBy(F.col("doc_id").alias(gone_id))
         .agg(F.max("kept").alias("any_kept"))
         .filter(~F.col("any_kept"))
-        .select("_gone")
+        .select(gone_id)
     )
     gone = materialize(gone, "rejected")
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    return docs.join(gone, F.col(id_col) == F.col(gone_id), "left_anti")

@@ -181,7 +181,8 @@ def training_rows(
     """``(text, toxic, share)`` of at most ``max_rows`` labelled rows of each class.
 
     Rows are chosen by a hash of the id; ``share`` is the share of toxic rows among all
-    labelled ones. Texts of more than ``MAX_BYTES`` are not learned from, so that the
+    labelled ones. An id that several rows have counts once, with the least of its texts.
+    Texts of more than ``MAX_BYTES`` are not learned from, so that the
     sample's size is bounded too.
     """
     marked = labels.filter(in_training(F.col("doc_id"))).filter(F.col("toxic").isin(0, 1))
@@ -193,10 +194,13 @@ def training_rows(
     ]
     share = marked.agg(F.avg("toxic").alias("share")).scalar()
     chosen = materialize(classes[0].union(classes[1]), "toxic-sample")
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     return (
-        docs.filter(F.octet_length(text_col) <= MAX_BYTES)
-        .join(F.broadcast(chosen), F.col(id_col) == F.col("_label_id"))  # 2 max_rows rows
-        .select(F.col(text_col).alias("text"), "toxic", "_label_id", share.alias("share"))
+        texts.filter(F.octet_length("text") <= MAX_BYTES)
+        .join(F.broadcast(chosen), F.col("_id") == F.col("_label_id"))  # 2 max_rows rows
+        .groupBy("_label_id")
+        .agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+        .select("text", "toxic", "_label_id", share.alias("share"))
     )
 
 
