@@ -35,7 +35,14 @@ from pyspark.sql import functions as F
 
 from odflow.llm.components import components
 from odflow.llm.names import fresh
-from odflow.llm.text import LOWER, mix64, split_words, text_slices
+from odflow.llm.text import (
+    LOWER,
+    SMALL_SLICE_BYTES,
+    mix64,
+    small_batches,
+    split_words,
+    text_slices,
+)
 from odflow.sources.scratch import materialize
 
 BUCKETS = 128
@@ -132,7 +139,7 @@ def may_reach(percent: int) -> Column:
 
 def _signatures(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for low, high, data, offsets in text_slices(batch.column(1)):
+        for low, high, data, offsets in text_slices(batch.column(1), SMALL_SLICE_BYTES):
             hashes, first = shingle_sets(data, offsets, n)
             with np.errstate(over="ignore"):
                 sums = [
@@ -155,9 +162,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Record
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in small_batches(batches):
         rows = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16)
         rows = rows.reshape(-1, BUCKETS).astype(np.uint64)
         key = np.broadcast_to(mix64(np.arange(1, BANDS + 1, dtype=np.uint64)), (len(rows), BANDS))
@@ -177,9 +182,7 @@ def _estimate(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[p
     The margin is six standard deviations of the share of equal registers, so that a
     pair above the threshold is practically never dropped.
     """
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in small_batches(batches):
         a, b = (
             np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, BUCKETS)
             for i in (2, 3)
@@ -194,7 +197,7 @@ def _estimate(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[p
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for low, high, data, offsets in text_slices(batch.column(1)):
+        for low, high, data, offsets in text_slices(batch.column(1), SMALL_SLICE_BYTES):
             hashes, first = shingle_sets(data, offsets, n)
             sets = [hashes[i:j].tobytes() for i, j in zip(first[:-1], first[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -209,7 +212,7 @@ def _members(column: pa.Array) -> list[np.ndarray]:
 
 def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sizes of two sets and of their intersection."""
-    for batch in batches:
+    for batch in small_batches(batches):
         left, right = _members(batch.column(2)), _members(batch.column(3))
         both = [
             len(np.intersect1d(x, y, assume_unique=True))
@@ -235,7 +238,7 @@ def _differences(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
     than cost / (100 + percent) of its own differences with it, and one of the first
     ones, which ``first`` marks, is among the shared.
     """
-    for batch in batches:
+    for batch in small_batches(batches):
         parts = []
         for i, (h, y) in enumerate(zip(*map(_members, batch.columns[2:4]), strict=True)):
             added = np.setdiff1d(y, h, assume_unique=True)

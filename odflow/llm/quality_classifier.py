@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from odflow.llm.names import fresh
 from odflow.llm.running import running_total
-from odflow.llm.text import mix64, split_words, text_slices
+from odflow.llm.text import SMALL_SLICE_BYTES, mix64, split_words, text_slices
 from odflow.sources.scratch import materialize
 
 BUCKETS = 1 << 17
@@ -54,7 +54,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """N-grams of a partition by bucket."""
     total = np.zeros(BUCKETS, np.int64)
     for batch in batches:
-        for _, _, data, offsets in text_slices(batch.column(0)):
+        for _, _, data, offsets in text_slices(batch.column(0), SMALL_SLICE_BYTES):
             total += np.bincount(grams(data, offsets)[0], minlength=BUCKETS)
     seen = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays(
@@ -149,7 +149,7 @@ def _weigh(rows: DataFrame, model: Model, *keep: str) -> DataFrame:
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, offsets in text_slices(batch.column("text")):
+            for low, high, data, offsets in text_slices(batch.column("text"), SMALL_SLICE_BYTES):
                 weights = text_weights(model, data, offsets)
                 yield pa.RecordBatch.from_arrays(
                     [
