@@ -39,15 +39,16 @@ from pyspark.sql import functions as F
 
 from odflow.llm.components import components
 from odflow.llm.near_dedup import shingle_sets
-from odflow.llm.text import mix64, text_slices
+from odflow.llm.text import SMALL_SLICE_BYTES, mix64, small_batches, text_slices
 from odflow.sources.scratch import materialize
 
 # A probability of too few filled segments above this makes a scheme larger.
 LACKING = 1e-9
 # Schemes with fewer elements than this in a segment give shares of 2.
 FILLED = 2.5
-KEYS_PER_TASK = 2_000_000
-MERGE_KEYS = 1_000_000
+KEYS_PER_TASK = 1_000_000
+MERGE_KEYS = 400_000
+DEAL_KEYS = 200_000
 FILTER_BITS = 26
 
 
@@ -251,7 +252,7 @@ def set_ids(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def _sizes(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for low, high, data, offsets in text_slices(batch.column(1)):
+        for low, high, data, offsets in text_slices(batch.column(1), SMALL_SLICE_BYTES):
             hashes, first = shingle_sets(data, offsets, shingle)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -266,32 +267,42 @@ def _sizes(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Recor
 def _dealt(
     batches: Iterator[pa.RecordBatch], shingle: int, percent: int, parts: int
 ) -> Iterator[pa.RecordBatch]:
-    """Keys and their sets in packed arrays, one row per slice and part.
+    """Keys and their sets in packed arrays, one row per part and ``DEAL_KEYS`` keys.
 
     Rows of part -1 hold the sets that lack filled segments.
     """
+    waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def packed() -> pa.RecordBatch:
+        keys, owners, lacking = map(np.concatenate, zip(*waiting, strict=True))
+        waiting.clear()
+        part = (keys >> np.uint64(20)) % np.uint64(parts)
+        order = np.argsort(part, kind="stable")
+        keys, owners, part = keys[order], owners[order], part[order]
+        cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else []
+        ends = [*cuts[1:], len(part)] if len(part) else []
+        rows = [
+            (int(part[i]), keys[i:j].tobytes(), owners[i:j].tobytes())
+            for i, j in zip(cuts, ends, strict=True)
+        ]
+        if len(lacking):
+            rows.append((-1, b"", np.unique(lacking).tobytes()))
+        columns = zip(*rows, strict=True) if rows else ((), (), ())
+        types = pa.int32(), pa.binary(), pa.binary()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["part", "keys", "ids"]
+        )
+
     for batch in batches:
-        for _, _, data, offsets in text_slices(batch.column(0)):
+        for _, _, data, offsets in text_slices(batch.column(0), SMALL_SLICE_BYTES):
             hashes, first = shingle_sets(data, offsets, shingle)
             ids = set_ids(hashes, first)
             keys, owners, lacking = signatures(hashes, first, percent)
-            part = (keys >> np.uint64(20)) % np.uint64(parts)
-            order = np.argsort(part, kind="stable")
-            keys, owners, part = keys[order], ids[owners[order]], part[order]
-            cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else []
-            ends = [*cuts[1:], len(part)] if len(part) else []
-            rows = [
-                (int(part[i]), keys[i:j].tobytes(), owners[i:j].tobytes())
-                for i, j in zip(cuts, ends, strict=True)
-            ]
-            if len(lacking):
-                rows.append((-1, b"", np.unique(ids[lacking]).tobytes()))
-            columns = zip(*rows, strict=True) if rows else ((), (), ())
-            types = pa.int32(), pa.binary(), pa.binary()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                ["part", "keys", "ids"],
-            )
+            waiting.append((keys, ids[owners], ids[lacking]))
+            if sum(len(k) for k, _, _ in waiting) >= DEAL_KEYS:
+                yield packed()
+    if waiting:
+        yield packed()
 
 
 def _pair_rows(keys: np.ndarray, ids: np.ndarray, probes: np.ndarray) -> pa.RecordBatch:
@@ -318,15 +329,17 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = np.concatenate([known[1], *(i for _, i in waiting)])
         probes = np.concatenate([known[2], *((k & np.uint64(1)).astype(bool) for k in marked)])
         waiting.clear()
+        del marked
         passed = np.concatenate([known[3], np.zeros(len(keys) - n, bool)])
-        order = np.argsort(keys, kind="stable")
-        keys, ids, probes, passed = (x[order] for x in (keys, ids, probes, passed))
+        order = np.argsort(keys, kind="stable").astype(np.int32)
+        keys, ids, probes, passed = keys[order], ids[order], probes[order], passed[order]
+        del order
         lead = np.ones(len(keys), bool)
         lead[1:] = keys[1:] != keys[:-1]
-        group = np.cumsum(lead) - 1
-        leader = ids[lead][group]
-        other = ids != leader
-        shared = np.bincount(group, other, minlength=lead.sum()) > 0
+        group = np.cumsum(lead, dtype=np.int32) - 1
+        other = ids != ids[lead][group]
+        shared = np.zeros(np.count_nonzero(lead), bool)
+        shared[group[other]] = True
         out = other | (lead & shared[group] & ~passed)
         known = keys[lead], ids[lead], probes[lead], passed[lead] | shared
         return _pair_rows(keys[out], ids[out], probes[out])
@@ -379,7 +392,7 @@ def _full_sets(
 ) -> Iterator[pa.RecordBatch]:
     """The elements of the texts whose set is marked."""
     for batch in batches:
-        for _, _, data, offsets in text_slices(batch.column(0)):
+        for _, _, data, offsets in text_slices(batch.column(0), SMALL_SLICE_BYTES):
             hashes, first = shingle_sets(data, offsets, shingle)
             ids = set_ids(hashes, first)
             rows = np.flatnonzero(_marked(ids, marks) & (np.diff(first) > 0))
@@ -398,7 +411,7 @@ def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Of a group of three sets or more (n), also the elements by which b differs from a.
     """
-    for batch in batches:
+    for batch in small_batches(batches):
         rows = []
         for h, x, n in zip(
             _elements(batch.column("_sa")),
@@ -431,7 +444,7 @@ def _differences(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
     What the hub has and the set has not comes last in every order below, so it is left
     out where the other elements fill the longest prefix that is used.
     """
-    for batch in batches:
+    for batch in small_batches(batches):
         parts = []
         for i, (size, added, gone) in enumerate(
             zip(
@@ -623,7 +636,7 @@ def _some_elements(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
 
 def _all_elements(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for _, _, data, offsets in text_slices(batch.column(0)):
+        for _, _, data, offsets in text_slices(batch.column(0), SMALL_SLICE_BYTES):
             hashes, first = shingle_sets(data, offsets, shingle)
             ids = np.repeat(set_ids(hashes, first), np.diff(first))
             yield pa.RecordBatch.from_arrays(

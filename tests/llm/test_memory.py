@@ -7,7 +7,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from odflow.llm import near_dedup, quality_classifier
+from odflow.llm import jaccard_join, near_dedup, quality_classifier
+from odflow.llm.text import mix64
 
 
 def peak_mb(rows):
@@ -41,3 +42,20 @@ def test_bands_stay_small():
     table = pa.RecordBatch.from_arrays([pa.array(range(10_000)), pa.array(rows)], ["id", "registers"])
     n, mb = peak_mb(near_dedup._bands([table]))
     assert n == 10_000 * near_dedup.BANDS and mb < 20
+
+
+def test_keys_of_a_task_stay_small():
+    keys = mix64(np.arange(1 << 20, dtype=np.uint64)) & ~np.uint64(1)
+    ids = np.arange(1 << 20, dtype=np.int64)
+    step = 1 << 14
+    cut = [(0, keys[i : i + step].tobytes(), ids[i : i + step].tobytes()) for i in range(0, len(keys), step)]
+    types = pa.int32(), pa.binary(), pa.binary()
+    dealt = [
+        pa.RecordBatch.from_arrays(
+            [pa.array([c], t) for c, t in zip(row, types, strict=True)], ["part", "keys", "ids"]
+        )
+        for row in [*cut, cut[0]]
+    ]
+    n, mb = peak_mb(jaccard_join._shared(dealt))
+    # The same set has the repeated keys: nothing is shared.
+    assert n == 0 and mb < 75
