@@ -9,6 +9,7 @@ import pytest
 
 from odflow.llm import jaccard_join, near_dedup, quality_classifier
 from odflow.llm.text import mix64
+from odflow.sources.scratch import BATCH_ROWS, materialize
 
 
 def peak_mb(rows):
@@ -59,3 +60,24 @@ def test_keys_of_a_task_stay_small():
     n, mb = peak_mb(jaccard_join._shared(dealt))
     # The same set has the repeated keys: nothing is shared.
     assert n == 0 and mb < 75
+
+
+def test_batches_for_python_stay_small(spark):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def most_rows():
+        sizes = spark.range(0, 5000, 1, 1).mapInArrow(
+            lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n bigint"
+        )
+        return max(r["n"] for r in materialize(sizes, "sizes").collect())
+
+    before = spark.conf.get(setting, None)
+    try:
+        spark.conf.unset(setting)
+        assert most_rows() == BATCH_ROWS
+        spark.conf.set(setting, "2500")
+        assert most_rows() == 2500
+    finally:
+        spark.conf.unset(setting)
+        if before is not None:
+            spark.conf.set(setting, before)
