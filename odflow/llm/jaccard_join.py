@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odflow.llm.components import components
+from odflow.llm.hub_pairs import difference_rows, pairs_by_differences
 from odflow.llm.near_dedup import shingle_sets
 from odflow.llm.text import SMALL_SLICE_BYTES, mix64, small_batches, text_slices
 from odflow.sources.scratch import materialize
@@ -439,38 +440,15 @@ def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _differences(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Elements by which sets differ from their hub, one row each.
-
-    What the hub has and the set has not comes last in every order below, so it is left
-    out where the other elements fill the longest prefix that is used.
-    """
+    """Elements by which sets differ from their hub, one row each."""
     for batch in small_batches(batches):
-        parts = []
-        for i, (size, added, gone) in enumerate(
-            zip(
-                batch.column("n_b").to_pylist(),
-                _elements(batch.column("added")),
-                _elements(batch.column("gone")),
-                strict=True,
-            )
-        ):
-            if len(added) > (100 - percent) * size // percent + 2:
-                gone = gone[:0]
-            element = np.concatenate([added, gone]).view(np.int64)
-            parts.append((np.full(len(element), i), element, np.arange(len(element)) >= len(added)))
-        if not parts:
-            continue
-        row, element, gone = map(np.concatenate, zip(*parts, strict=True))
-        row = pa.array(row)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("a").take(row),
-                batch.column("b").take(row),
-                pa.array(element),
-                pa.array(gone),
-            ],
-            ["hub", "id", "element", "gone"],
+        sides = zip(
+            batch.column("n_b").to_pylist(),
+            _elements(batch.column("added")),
+            _elements(batch.column("gone")),
+            strict=True,
         )
+        yield difference_rows(batch.column("a"), batch.column("b"), sides, percent)
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, label: str) -> DataFrame:
@@ -524,89 +502,23 @@ def _placed(pairs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _unsettled(seen: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of a hub that may be linked, but not through what is found.
-
-    With d the differences from the hub, two linked sets share at least
-    (d1 + d2 - H) / 2 of them. One of them is not linked to the hub, so this is above 0.
-    Ordered by how many members share them, the rarest first, a shared one is in a prefix
-    of either side; the prefix of the side with fewer differences is the shorter one.
-    """
-    placed = _placed(seen.filter(F.col("n") > 2), found).select(
-        "a", "b", "n_a", "n_b", "both", "added", "gone", (F.col("_ca") != F.col("_cb")).alias("loose")
-    )
+    """Pairs of members of a hub that may be linked, but not through what is found."""
+    placed = _placed(seen.filter(F.col("n") > 2), found)
     hubs = placed.groupBy(F.col("a").alias("_hub")).agg(
-        F.count_if("loose").alias("_loose"), F.count("*").alias("_all")
+        F.count_if(F.col("_ca") != F.col("_cb")).alias("_loose"), F.count("*").alias("_all")
     )
     hubs = hubs.filter((F.col("_loose") > 0) & (F.col("_all") > 1)).select("_hub")
     hubs = materialize(hubs, "open-hubs")
-    placed = placed.join(hubs, F.col("a") == F.col("_hub"), "left_semi")
+    placed = placed.join(hubs, F.col("a") == F.col("_hub"), "left_semi").select(
+        "a", "b", "n_a", "n_b", "both", "added", "gone", F.col("_cb").alias("component")
+    )
     placed = materialize(placed, "hub-members")
     parts = placed.select("a", "b", "n_b", "added", "gone").mapInArrow(
         partial(_differences, percent=percent),
         "hub bigint, id bigint, element bigint, gone boolean",
     )
-    parts = materialize(parts, "hub-differences")
-    key = ["hub", "element", "gone"]
-    shared = parts.groupBy(*key).agg(F.count("*").alias("among")).filter(F.col("among") > 1)
-    shared = materialize(shared, "difference-counts")
-    # Elements of one member alone join nothing; they only come first in the order.
-    order = parts.join(shared, key).groupBy("hub", "id").agg(
-        F.array_sort(F.collect_list(F.struct("gone", "among", "element"))).alias("order"),
-        F.count_if(~F.col("gone")).alias("shared_added"),
-    )
-    n_added = (F.octet_length("added") / 8).cast("int")
-    members = placed.select(
-        F.col("a").alias("hub"),
-        F.col("b").alias("id"),
-        "loose",
-        (F.col("n_a") + F.col("n_b") - 2 * F.col("both")).alias("n"),
-        F.col("n_b").alias("size"),
-        F.col("n_a").alias("hub_size"),
-        n_added.alias("n_added"),
-    )
-    other = 100 - percent
-    slack = F.floor(other * F.col("size") / percent)
-    least_loose = F.floor(other * (percent * F.col("size") / 100 + F.col("hub_size")) / (100 + percent))
-    short = F.greatest(
-        F.lit(1), F.ceil((F.col("n") + F.greatest(F.col("n"), least_loose) - slack) / 2)
-    )
-    # One more than the arithmetic says, against rounding of the quotients above.
-    ranked = order.join(members, ["hub", "id"]).select(
-        "hub",
-        "id",
-        "loose",
-        "n",
-        "size",
-        (slack + 2).alias("long_prefix"),
-        (F.col("n") - short + 2).alias("short_prefix"),
-        (F.col("n_added") - F.col("shared_added")).alias("alone"),
-        F.posexplode("order"),
-    )
-    # What only the hub has and this set alone lacks would stand before the shared ones of
-    # its kind. Leaving it out brings them forward, which keeps every prefix complete.
-    ranked = ranked.select(
-        "hub", "id", "loose", "n", "size", "long_prefix", "short_prefix",
-        (F.col("pos") + F.col("alone")).alias("pos"),
-        F.col("col.gone").alias("gone"),
-        F.col("col.element").alias("element"),
-    ).filter(F.col("pos") < F.greatest("long_prefix", "short_prefix"))
-    ranked = materialize(ranked, "ranked-differences")
-    long = ranked.filter(F.col("pos") < F.col("long_prefix")).alias("x")
-    short_rows = ranked.filter(F.col("pos") < F.col("short_prefix")).alias("y")
-    apart = F.col("x.n") + F.col("y.n") - 2 * F.least(
-        F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")
-    )
-    met = (
-        (F.col("x.hub") == F.col("y.hub"))
-        & (F.col("x.element") == F.col("y.element"))
-        & (F.col("x.gone") == F.col("y.gone"))
-        & (F.struct("x.n", "x.id") > F.struct("y.n", "y.id"))
-        & (F.col("x.loose") | F.col("y.loose"))
-        & ((100 + percent) * apart <= other * (F.col("x.size") + F.col("y.size")))
-    )
-    met_pairs = long.join(short_rows, met).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    near = _placed(materialize(met_pairs.distinct(), "difference-pairs"), found)
-    return near.filter(F.col("_ca") != F.col("_cb")).select("a", "b")
+    members = placed.withColumnsRenamed({"a": "hub", "b": "id"})
+    return pairs_by_differences(members, materialize(parts, "hub-differences"), percent)
 
 
 def _through_elements(

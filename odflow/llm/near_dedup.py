@@ -14,9 +14,9 @@ settled without comparing all pairs of the band:
 
 * The Jaccard distance is a metric. With links up to distance d, a text beyond 2 d of
   the hub has no link to a text linked to the hub.
-* Texts within 2 d of the hub, but not linked to it, are joined with the others there
-  on their differences from the hub. Two texts with a link share more than a certain
-  number of these, so that it is enough to look up a part of one side's.
+* Texts within 2 d of the hub, but not in its component, are joined with the others there
+  on their rarest differences from the hub (``hub_pairs``). Two texts with a link share
+  more than a certain number of differences, so that a prefix of them is enough.
 * Texts beyond 2 d of the hub, which a band seldom has, are compared with those of the
   band that are not linked to the hub.
 
@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odflow.llm.components import components
+from odflow.llm.hub_pairs import difference_rows, pairs_by_differences
 from odflow.llm.names import fresh
 from odflow.llm.text import (
     LOWER,
@@ -229,38 +230,13 @@ def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _differences(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Elements by which a text (b) differs from its hub (a), those added first.
-
-    ``cost`` is percent per added and 100 per removed element. Two texts are linked
-    exactly if (100 + percent) times the number of differences they share is at least
-    the sum of their costs, less (100 - percent) times the size of the hub. For a text
-    not linked to the hub, the cost alone exceeds the latter. So a partner shares more
-    than cost / (100 + percent) of its own differences with it, and one of the first
-    ones, which ``first`` marks, is among the shared.
-    """
+    """Elements by which a text (b) differs from its hub (a), one row each."""
     for batch in small_batches(batches):
-        parts = []
-        for i, (h, y) in enumerate(zip(*map(_members, batch.columns[2:4]), strict=True)):
-            added = np.setdiff1d(y, h, assume_unique=True)
-            removed = np.setdiff1d(h, y, assume_unique=True)
-            cost = percent * len(added) + 100 * len(removed)
-            n = len(added) + len(removed)
-            first = np.arange(n) < n - cost // (100 + percent)
-            element = np.concatenate([added, ~removed]).view(np.int64)
-            parts.append((np.full(n, i), element, np.full(n, cost), np.full(n, n), first))
-        if not parts:
-            continue
-        row, element, cost, n, first = (np.concatenate(x) for x in zip(*parts, strict=True))
-        row = pa.array(row)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0).take(row),
-                batch.column(1).take(row),
-                batch.column(4).take(row),
-                *(pa.array(x) for x in (element, cost, n, first)),
-            ],
-            ["hub", "id", "slack", "element", "cost", "n", "first"],
+        sides = (
+            (len(y), np.setdiff1d(y, h, assume_unique=True), np.setdiff1d(h, y, assume_unique=True))
+            for h, y in zip(*map(_members, batch.columns[2:4]), strict=True)
         )
+        yield difference_rows(batch.column(0), batch.column(1), sides, percent)
 
 
 def _with_both(pairs: DataFrame, side: DataFrame, value: str) -> DataFrame:
@@ -318,37 +294,35 @@ def reaches(percent: int) -> Column:
 def _within_reach_of_hub(
     compare: _Comparer, seen: DataFrame, sets: DataFrame, found: DataFrame
 ) -> DataFrame:
-    """Pairs near the same hub that may be linked though one is not linked to the hub."""
+    """Pairs near the same hub that may be linked, of different components so far."""
     percent = compare.percent
-    near = seen.filter(reaches(2 * percent - 100))
-    open_hubs = near.filter(~reaches(percent)).select(F.col("a").alias("_hub")).distinct()
-    open_hubs = materialize(open_hubs, "open-hubs")
-    near = near.join(open_hubs, F.col("a") == F.col("_hub"), "left_semi").select(
-        "a", "b", ((100 - percent) * F.col("n_a")).alias("slack")
+    of_a = found.select(F.col("node").alias("a"), F.col("component").alias("_ca"))
+    of_b = found.select(F.col("node").alias("b"), F.col("component").alias("_cb"))
+    near = seen.filter(reaches(2 * percent - 100)).join(of_a, "a", "left").join(of_b, "b", "left")
+    component = F.coalesce("_cb", "b")
+    near = near.select(
+        "a",
+        "b",
+        "n_a",
+        "n_b",
+        "both",
+        component.alias("component"),
+        (component != F.coalesce("_ca", "a")).alias("loose"),
+    )
+    near = materialize(near, "hub-near")
+    open_hubs = near.groupBy(F.col("a").alias("_hub")).agg(
+        F.count_if("loose").alias("_loose"), F.count("*").alias("_all")
     )
+    open_hubs = open_hubs.filter((F.col("_loose") > 0) & (F.col("_all") > 1)).select("_hub")
+    near = near.join(materialize(open_hubs, "open-hubs"), F.col("a") == F.col("_hub"), "left_semi")
+    near = materialize(near.drop("loose"), "open-members")
     kind = compare.kind
-    parts = _with_both(materialize(near, "hub-near"), sets, "members").mapInArrow(
+    parts = _with_both(near.select("a", "b"), sets, "members").mapInArrow(
         partial(_differences, percent=percent),
-        f"hub {kind}, id {kind}, slack bigint, element bigint, cost bigint, n bigint, "
-        "first boolean",
-    )
-    parts = materialize(parts, "hub-differences")
-    loose = materialize(parts.filter(F.col("cost") > F.col("slack")), "loose-differences")
-    known = materialize(parts.filter("first"), "first-differences")
-    x, y = loose.alias("x"), known.alias("y")
-    needed = F.col("x.cost") + F.col("y.cost") - F.col("x.slack")
-    pairs = (
-        x.join(
-            y,
-            (F.col("x.hub") == F.col("y.hub"))
-            & (F.col("x.element") == F.col("y.element"))
-            & (F.col("x.id") != F.col("y.id"))
-            & ((100 + percent) * F.least("x.n", "y.n") >= needed),
-        )
-        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-        .distinct()
+        f"hub {kind}, id {kind}, element bigint, gone boolean",
     )
-    return _of_different_parts(materialize(pairs, "difference-pairs"), found)
+    members = near.withColumnsRenamed({"a": "hub", "b": "id"})
+    return pairs_by_differences(members, materialize(parts, "hub-differences"), percent)
 
 
 def _of_different_parts(pairs: DataFrame, found: DataFrame) -> DataFrame:

@@ -78,6 +78,29 @@ def test_components_equal_brute_force(spark, corpus, n):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows)
 
 
+def test_few_pairs_of_heavily_edited_copies(spark, monkeypatch):
+    """Copies of one text that are near it but not linked, with common words put in."""
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(200)]
+    copies = [[rng.choice("xyz") if rng.random() < 0.1 else w for w in base] for _ in range(150)]
+    texts = [base, *copies, *(edited(rng, c, 0.02) for c in copies[:10])]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    within, counts = near_dedup._within_reach_of_hub, []
+
+    def counted(*args):
+        pairs = within(*args)
+        counts.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(near_dedup, "_within_reach_of_hub", counted)
+    table = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    found = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(table, shingle=2).collect()}
+    expected = brute_components(rows, 2, 80)
+    assert found == expected and len(set(expected.values())) > 100
+    # All pairs are 12 880; with differences in the order of their hashes 7384 came out.
+    assert counts[0] < 2500
+
+
 def test_near_duplicates_of_odd_rows(docs, none):
     rows = near_dedup.near_duplicates(docs, shingle=2).collect()
     found = {r["doc_id"]: r for r in rows}
