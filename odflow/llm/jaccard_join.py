@@ -597,9 +597,9 @@ def jaccard_components(
     )
     dealt = dealt.repartition(max(1, parts // 8), "part")
     shared = dealt.mapInArrow(_shared, "key bigint, id bigint, probe boolean")
-    shared = materialize(shared, "shared-keys")
-    lacking = shared.filter(F.col("key") == 0).select("id").distinct()
-    groups = materialize(_groups(shared.filter(F.col("key") != 0).distinct()), "hub-groups")
+    shared = materialize(shared.distinct(), "shared-keys")
+    lacking = shared.filter(F.col("key") == 0).select("id")
+    groups = materialize(_groups(shared.filter(F.col("key") != 0)), "hub-groups")
     pairs = groups.select(F.col("hub").alias("a"), F.col("id").alias("b"))
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(lacking).distinct()
     needed = materialize(classes.join(needed, "id", "left_semi"), "needed-sets")

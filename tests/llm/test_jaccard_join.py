@@ -173,3 +173,22 @@ def test_odd_rows(spark, docs, none):
     assert found(named.repartition(5)) == expected(rows)
     with pytest.raises(ValueError):
         jaccard_components(docs, percent=50)
+
+
+def test_shared_keys_are_written_once(spark, monkeypatch):
+    """Copies of two linked texts: each key and set is one row of the table."""
+    words = [f"k{i}" for i in range(60)]
+    texts = [" ".join(words), " ".join(words[:-1])]
+    rows = [(i, texts[i % 2]) for i in range(40)]
+    write, tables = jaccard_join.materialize, {}
+
+    def kept(df, label):
+        tables[label] = write(df, label)
+        return tables[label]
+
+    monkeypatch.setattr(jaccard_join, "materialize", kept)
+    table = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    found = jaccard_join.jaccard_components(table).collect()
+    assert {r["component_id"] for r in found} == {0}
+    keys = tables["shared-keys"]
+    assert 0 < keys.count() == keys.distinct().count()
