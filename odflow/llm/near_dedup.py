@@ -44,7 +44,7 @@ from odflow.llm.text import (
     split_words,
     text_slices,
 )
-from odflow.sources.scratch import materialize
+from odflow.sources.scratch import materialize, settle
 
 BUCKETS = 128
 BANDS = 64
@@ -486,7 +486,7 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """
     gone_id, twice_id = fresh(docs, "_gone", "_twice")
     id_col = options.get("id_col", "doc_id")
-    result = materialize(near_duplicates(docs, **options), "near-duplicates")
+    result = settle(partial(near_duplicates, docs, **options), "near-duplicates")
     gone = materialize(
         result.filter(~F.col("kept")).select(F.col("doc_id").alias(gone_id)).distinct(),
         "near-copies",
